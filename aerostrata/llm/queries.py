@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import decontam, mixing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": lambda spark, d: decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op7_mixing": lambda spark, d: mixing.mix_counts(table(spark, d, "documents")),
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": decontam.ORACLE_SQL,
     "op7_mixing": mixing.oracle_sql(),
 }
