@@ -16,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,7 +170,7 @@ def windows(hashes: np.ndarray, doc: np.ndarray, k: int, salt: int = 0) -> tuple
 def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into pieces of about limit bytes of text; a longer text is a piece alone."""
     col = batch.column(column)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
     for i, size in enumerate(sizes):
         if i > at and held + size > limit:

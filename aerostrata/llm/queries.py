@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing
-from .common import table
+from . import decontam, mixing, tokenstore
+from .common import stage_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": lambda spark, d: decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op7_mixing": lambda spark, d: mixing.mix_counts(table(spark, d, "documents")),
+    "op10_token_store": lambda spark, d: tokenstore.store_and_read(table(spark, d, "documents"), stage_path(spark, "token-store")),
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": decontam.ORACLE_SQL,
