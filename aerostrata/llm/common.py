@@ -26,6 +26,8 @@ BLOCK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: As gaps of Words: all ASCII bytes but letters and digits.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -118,14 +120,14 @@ _word_powers = _Powers(0xA0761D6478BD642F)
 class Words:
     """The words of a block of texts: byte spans, documents' word ranges and 64-bit hashes."""
 
-    def __init__(self, texts: Iterable[str | bytes | None]):
+    def __init__(self, texts: Iterable[str | bytes | None], gaps: np.ndarray = _SPACE):
         raw = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
         self.buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         begins = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(x) + 1 for x in raw], out=begins[1:])
         inside = np.empty(len(self.buf) + 1, np.int8)
         inside[0] = 0
-        np.logical_not(_SPACE[self.buf], out=inside[1:].view(bool))
+        np.logical_not(gaps[self.buf], out=inside[1:].view(bool))
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         self.start, self.end = edge[0::2], edge[1::2]
         self.doc = np.searchsorted(self.start, begins)
@@ -140,11 +142,13 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of each word's bytes; lower: ASCII letters count as lower case."""
-        code = _BYTE_CODE
-        if lower:
-            code = code.copy()
-            code[65:91] = code[97:123]
-        return self.span_hashes(self.start, self.end, code)
+        return self.span_hashes(self.start, self.end, self.lower_code() if lower else _BYTE_CODE)
+
+    @staticmethod
+    def lower_code() -> np.ndarray:
+        code = _BYTE_CODE.copy()
+        code[65:91] = code[97:123]
+        return code
 
     def span_hashes(self, start: np.ndarray, end: np.ndarray, code: np.ndarray = _BYTE_CODE) -> np.ndarray:
         up, down = _powers.upto(len(self.buf) + 1)

@@ -153,7 +153,8 @@ def _score_task(net: ByteNet):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ByteNet:
-    return fit(*labelled_sample(docs, labels, "quality", crc_mod("doc_id", 5) != 0))
+    texts, y, weight, _ = labelled_sample(docs, labels, "quality", crc_mod("doc_id", 5) != 0)
+    return fit(texts, y, weight)
 
 
 def score(docs: DataFrame, net: ByteNet) -> DataFrame:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, quality, tokenstore
+from . import decontam, mixing, quality, tokenstore, toxicity
 from .common import stage_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": lambda spark, d: decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_quality": lambda spark, d: quality.quality(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_mixing": lambda spark, d: mixing.mix_counts(table(spark, d, "documents")),
+    "op9_toxicity": lambda spark, d: toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_token_store": lambda spark, d: tokenstore.store_and_read(table(spark, d, "documents"), stage_path(spark, "token-store")),
 }
 ORACLE_SQL: dict[str, str] = {

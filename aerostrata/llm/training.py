@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 PER_CLASS = 1500
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts, labels and weights of up to per_class documents of each class, in the order of a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray, np.ndarray, list[str | None]]:
+    """Texts, labels, weights and languages of up to per_class documents of each class, in the order of a hash of the id.
 
     A document labelled more than once counts by its greatest label; null ids
     and labels do not count.  The weights restore the classes' shares among all
@@ -24,13 +24,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: C
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
     if picked is None:
-        return [], np.empty(0), np.empty(0)
+        return [], np.empty(0), np.empty(0), []
     # picked has at most 2 * per_class rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").collect()
-    rows = sorted({(r.doc_id, r.text or "", r.y) for r in rows})
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y", "lang").collect()
+    rows = sorted({(r.doc_id, r.text or "", r.y, r.lang or "") for r in rows})
     y = np.array([r[2] for r in rows], np.float32)
     weight = np.array([shares[r[2]] / max(1, np.count_nonzero(y == r[2])) for r in rows], np.float32)
-    return [r[1] for r in rows], y, weight / weight.mean() if len(rows) else weight
+    return [r[1] for r in rows], y, weight / weight.mean() if len(rows) else weight, [r[3] or None for r in rows]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
