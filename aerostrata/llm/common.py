@@ -122,7 +122,7 @@ class Words:
 
     def __init__(self, texts: Iterable[str | bytes | None], gaps: np.ndarray = _SPACE):
         raw = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
-        self.buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        self.buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
         begins = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(x) + 1 for x in raw], out=begins[1:])
         inside = np.empty(len(self.buf) + 1, np.int8)
@@ -171,13 +171,13 @@ def windows(hashes: np.ndarray, doc: np.ndarray, k: int, salt: int = 0) -> tuple
     return mix64((total[first + k] - total[first]) * down[first]), first
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into pieces of about limit bytes of text; a longer text is a piece alone."""
+def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into pieces of at most so many rows and about limit bytes of text; a longer text is a piece alone."""
     col = batch.column(column)
     sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
     for i, size in enumerate(sizes):
-        if i > at and held + size > limit:
+        if i > at and (held + size > limit or i - at == rows):
             yield batch.slice(at, i - at)
             at, held = i, 0
         held += int(size)
@@ -185,6 +185,11 @@ def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES
         yield batch.slice(at)
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast df if, counted, it has at most so many rows; else leave the join to shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def crc_mod(column: str, m: int) -> Column:
     """crc32 of an id's decimal text, modulo m."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % m
