@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, mixing, quality, tokenstore, toxicity
+from . import bagminhash, decontam, mixing, quality, repeats, tokenstore, toxicity
 from .common import stage_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": lambda spark, d: quality.quality(table(spark, d, "documents"), table(spark, d, "labels")),
     "op6_near_duplicates": lambda spark, d: bagminhash.near_classes(table(spark, d, "documents")),
     "op7_mixing": lambda spark, d: mixing.mix_counts(table(spark, d, "documents")),
+    "op8_repeats": lambda spark, d: repeats.without_repeats(table(spark, d, "documents")),
     "op9_toxicity": lambda spark, d: toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_token_store": lambda spark, d: tokenstore.store_and_read(table(spark, d, "documents"), stage_path(spark, "token-store")),
 }
