@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, mixing, quality, repeats, tokenstore, toxicity
+from . import bagminhash, decontam, imatch, mixing, quality, repeats, tokenstore, toxicity
 from .common import stage_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": lambda spark, d: decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_quality": lambda spark, d: quality.quality(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op5_imatch": lambda spark, d: imatch.fingerprint_documents(table(spark, d, "documents")),
     "op6_near_duplicates": lambda spark, d: bagminhash.near_classes(table(spark, d, "documents")),
     "op7_mixing": lambda spark, d: mixing.mix_counts(table(spark, d, "documents")),
     "op8_repeats": lambda spark, d: repeats.without_repeats(table(spark, d, "documents")),
