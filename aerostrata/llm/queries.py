@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, imatch, lm, mixing, quality, repeats, tokenstore, toxicity
+from . import bagminhash, decontam, imatch, langid, lm, mixing, quality, repeats, tokenstore, toxicity
 from .common import stage_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": lambda spark, d: langid.identify(table(spark, d, "pages"), table(spark, d, "documents")),
     "op2_lm_difference": lambda spark, d: lm.score(table(spark, d, "documents"), lm.good_documents(table(spark, d, "labels"))),
     "op3_decontamination": lambda spark, d: decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_quality": lambda spark, d: quality.quality(table(spark, d, "documents"), table(spark, d, "labels")),
