@@ -27,6 +27,7 @@ from .common import WORD, staged
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
+SHARD_ROOM = 1 << 20
 CHUNK_ROWS = 4096
 ROUNDS = 24
 WEIGHTS = (5, 2, 1)
@@ -139,7 +140,7 @@ def mix_counts(docs: DataFrame, weights: tuple = WEIGHTS, block_words: int = BLO
 
 
 def mix_blocks(docs: DataFrame, weights: tuple = WEIGHTS, block_words: int = 512, seed: int = 17) -> DataFrame:
-    """The mix itself, a row for each block taken: shard, slot, source, lang (of the block's first word), text (its words)."""
+    """The mix itself, a row for each block taken: doc_id (shard, then place in it), source, lang (of the block's first word), text (its words), n_chars."""
     sizes = staged(sized(docs), "mix-sizes")
     n = sizes.count()
     sources = staged(source_targets(sizes, weights, block_words=block_words), "mix-sources")
@@ -147,7 +148,10 @@ def mix_blocks(docs: DataFrame, weights: tuple = WEIGHTS, block_words: int = 512
     part = laid.select("sid", "block", "source", "lang", "piece_from", F.array_join(F.slice("all_words", F.col("skip").cast("int") + 1, F.col("words").cast("int")), " ").alias("part"))
     whole = part.groupBy("sid", "block").agg(F.array_sort(F.collect_list(F.struct("piece_from", "part", "lang", "source"))).alias("parts"))
     whole = whole.select("sid", "block", F.col("parts")[0]["source"].alias("source"), F.col("parts")[0]["lang"].alias("lang"), F.array_join(F.transform("parts", lambda p: p["part"]), " ").alias("text"))
-    return whole.join(slots(sources, seed), ["sid", "block"]).select("shard", "sid", "slot", "source", "lang", "text")
+    # shards have about SHARD_SLOTS rows; places are given before texts join
+    place = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("sid", "slot", F.lit(seed)), "sid", "slot")) - 1
+    dealt = slots(sources, seed).withColumn("doc_id", F.col("shard") * SHARD_ROOM + place)
+    return whole.join(dealt.select("doc_id", "sid", "block"), ["sid", "block"]).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
 def oracle_sql(weights: tuple = WEIGHTS, block_words: int = BLOCK_WORDS, seed: int = 17) -> str:
