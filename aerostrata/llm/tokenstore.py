@@ -3,12 +3,12 @@
 ``write_store`` encodes whole texts, appends an end id to each, cuts every
 document's id stream where a rolling hash of its last ids says so, and writes
 
-* ``objects/kind=0``: each distinct chunk once, under the digest of its bytes
+* ``objects`` of kind 0: each distinct chunk once, under the digest of its bytes
   (ids as little-endian unsigned 16-bit numbers where the vocabulary allows, or
   32-bit ones);
-* ``recipes/kind=0``: a row for each document in ascending doc_id order (null
+* ``recipes`` of kind 0: a row for each document in ascending doc_id order (null
   first; equal ids in an order of their own): its chunks' digests, its Merkle
-  root, its place in its part; ``recipes/kind=1``: each part's totals and root;
+  root, its place in its part; kind 1: each part's totals and root;
 * ``manifest``: the root over all parts, and the format's facts.
 
 ``read_documents`` reads those files back, checks every chunk against its
@@ -34,17 +34,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, ensure_path, mix64
+from .common import Words, blocks, ensure_path, mix64
 
 END_ID = 0
 #: Shortest, mean (a power of two) and longest chunk, in ids; the rolling hash's window.
 MIN_IDS, MEAN_IDS, MAX_IDS, WINDOW = 64, 256, 1024, 16
 DIGEST = 16
-#: So many distinct pieces' ids, and digests of chunks sent, does a worker remember.
-CACHE = 300_000
+#: A worker remembers the ids of 0.6 * 2 ** TABLE_BITS distinct pieces, and the digests of so many chunks that it has sent.
+TABLE_BITS = 22
+CACHE = 250_000
+#: Unknown pieces encoded in one call.
+GROUP = 200
 
 _OBJECT = "kind int, key binary, payload binary, rid long, doc_id long, n_tokens long, chunks array<binary>"
 _RECIPE = "kind int, part int, idx long, doc_id long, in_part long, n_tokens long, n_docs long, chunks array<binary>, root binary"
@@ -61,8 +64,9 @@ class Encoder:
 
     A byte-level pre-tokenizer always cuts before a space that stands between
     other characters, so pieces from one such space to the next can be encoded
-    alone; each distinct piece is encoded once and remembered.  Texts with runs
-    of spaces, a space at the end or an added token's content are encoded whole.
+    alone; each distinct piece is encoded once and remembered in a table under
+    a 64-bit hash of its bytes and length.  Texts with runs of spaces, a space
+    at the end or an added token's content are encoded whole.
     """
 
     def __init__(self, spec: str):
@@ -73,34 +77,101 @@ class Encoder:
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         pre = facts.get("pre_tokenizer") or {}
         self.by_piece = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not facts.get("normalizer")
-        self.added = [t["content"] for t in facts.get("added_tokens", [])]
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
-
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.added = [t["content"].encode() for t in facts.get("added_tokens", [])]
+        space = self.tok.encode("  ", add_special_tokens=False).tokens[0][:1] if self.by_piece else ""
+        self.leads = np.zeros(self.tok.get_vocab_size(), bool)
+        if self.by_piece:
+            self.leads[[i for t, i in self.tok.get_vocab().items() if t.startswith(space)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
+        self.at = np.zeros(1 << TABLE_BITS, np.int32)
+        self.n = np.zeros(1 << TABLE_BITS, np.int32)
+        self.ids, self.held, self.used = np.empty(1 << 16, self.dtype), 0, 0
+
+    def _fresh(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _spaced(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces with a space before each, many in one call (a space starts a token, and no token holds another), and their counts."""
+        groups = [(b" " + b" ".join(pieces[i : i + GROUP])).decode() for i in range(0, len(pieces), GROUP)]
+        ids = np.concatenate(self._fresh(groups) or [np.empty(0, self.dtype)])
+        return ids, np.diff(np.append(np.flatnonzero(self.leads[ids]), len(ids)))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """The table's slot of each key: where it is, or the free one where it ends its search."""
+        mask = np.int64((1 << TABLE_BITS) - 1)
+        slot = (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        here = self.keys[slot]
+        todo = np.flatnonzero((here != keys) & (here != 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & mask
+            here = self.keys[slot[todo]]
+            todo = todo[(here != keys[todo]) & (here != 0)]
+        return slot
+
+    def _learn(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Add distinct keys that the table lacks."""
+        while self.held + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        first = self.held + np.cumsum(count) - count
+        self.ids[self.held : self.held + len(ids)] = ids
+        self.held += len(ids)
+        self.used += len(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            slot = self._slots(keys[left])
+            mine = np.unique(slot, return_index=True)[1]  # one newcomer for each free slot; the rest search on
+            put = left[mine]
+            self.keys[slot[mine]], self.at[slot[mine]], self.n[slot[mine]] = keys[put], first[put], count[put]
+            left = np.delete(left, mine)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         whole, cut = [], []
         for i, t in enumerate(texts):
-            plain = self.by_piece and "  " not in t and not t.endswith(" ") and not any(a in t for a in self.added)
+            plain = self.by_piece and b"  " not in t and not t.endswith(b" ") and not any(a in t for a in self.added)
             (cut if plain else whole).append(i)
-        for i, ids in zip(whole, self._fresh([texts[i] for i in whole])):
-            out[i] = ids
-        pieces = [texts[i].split(" ") for i in cut]
-        for cache, asked, lead in ((self.first, {p[0] for p in pieces}, ""), (self.rest, {x for p in pieces for x in p[1:]}, " ")):
-            missing = [x for x in asked if x not in cache]
-            if len(cache) + len(missing) > CACHE:
-                cache.clear()
-                missing = list(asked)
-            cache.update(zip(missing, self._fresh([lead + x if x else "" for x in missing])))
-        get = self.rest.__getitem__
-        for i, p in zip(cut, pieces):
-            out[i] = self.first[p[0]] + b"".join(map(get, p[1:]))
+        for i, ids in zip(whole, self._fresh([texts[i].decode() for i in whole])):
+            out[i] = ids.tobytes()
+        if not cut:
+            return out
+        words = Words([texts[i] for i in cut], _ONE_SPACE)
+        begins = np.cumsum([0] + [len(texts[i]) + 1 for i in cut[:-1]])
+        keys = words.hashes() | np.uint64(1)
+        full = np.flatnonzero(words.counts)
+        head = words.doc[:-1][full]
+        head = head[words.start[head] == begins[full]]
+        keys[head] = mix64(keys[head]) | np.uint64(1)
+        slot = self._slots(keys)
+        lacking = np.flatnonzero(self.keys[slot] == 0)
+        if len(lacking):
+            is_head = np.zeros(len(keys), bool)
+            is_head[head] = True
+            fresh = lacking[np.unique(keys[lacking], return_index=True)[1]]
+            if self.used + len(fresh) > (1 << TABLE_BITS) * 0.6:
+                self._forget()
+                fresh = np.unique(keys, return_index=True)[1]
+            raw = words.buf.tobytes()
+            for some, lead in ((fresh[~is_head[fresh]], True), (fresh[is_head[fresh]], False)):
+                pieces = [raw[a:b] for a, b in zip(words.start[some].tolist(), words.end[some].tolist())]
+                if lead:
+                    self._learn(keys[some], *self._spaced(pieces))
+                elif pieces:
+                    got = self._fresh([p.decode() for p in pieces])
+                    self._learn(keys[some], np.concatenate(got), np.array([len(g) for g in got]))
+            slot = self._slots(keys)
+        count = self.n[slot]
+        before = np.concatenate([[0], np.cumsum(count)])
+        ids = self.ids[np.repeat(self.at[slot] - before[:-1], count) + np.arange(before[-1])].tobytes()
+        ends = before[words.doc] * np.dtype(self.dtype).itemsize
+        for i, a, b in zip(cut, ends[:-1].tolist(), ends[1:].tolist()):
+            out[i] = ids[a:b]
         return out
 
 
+_ONE_SPACE = np.arange(256) == 0x20
 _encoders: dict[str, Encoder] = {}
 
 
@@ -168,7 +239,7 @@ def _encode_task(spec: str, end_id: int):
         schema = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("payload", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("chunks", pa.list_(pa.binary()))])
         for batch in batches:
             for part in blocks(batch):
-                texts = [t or "" for t in part.column("text").to_pylist()]
+                texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
                 encoded = [x + end for x in enc.encode(texts)]
                 stream = b"".join(encoded)
                 sizes = np.array([len(x) // width for x in encoded], np.int64)
@@ -196,17 +267,6 @@ def _encode_task(spec: str, end_id: int):
     return run
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by kind and key, the first with each."""
-    last = None
-    for batch in batches:
-        keep = []
-        for x in zip(batch.column("kind").to_pylist(), batch.column("key").to_pylist()):
-            keep.append(x != last)
-            last = x
-        yield batch.filter(pa.array(keep, pa.bool_()))
-
-
 def _recipe_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -234,12 +294,13 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         spec = f.read()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode_task(spec, end_id), _OBJECT)
-    rows = rows.repartition(parts, "key").sortWithinPartitions("kind", "key").mapInArrow(_once, _OBJECT)
-    rows.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/objects")
+    # equal keys are in one partition already: one sort, and the first row with each stays
+    rows = rows.repartition(parts, "key").withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("kind"))).where("nth = 1").drop("nth")
+    rows.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"{path}/objects")
 
     recipes = spark.read.schema(_OBJECT).parquet(f"{path}/objects").where("kind = 1").select("doc_id", "rid", "n_tokens", "chunks")
     recipes = recipes.repartitionByRange(parts, "doc_id", "rid").sortWithinPartitions("doc_id", "rid").mapInArrow(_recipe_task, _RECIPE)
-    recipes.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/recipes")
+    recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
 
     # a row for each part, as many as shuffle partitions
     totals = spark.read.schema(_RECIPE).parquet(f"{path}/recipes").where("kind = 1").orderBy("part").select("n_tokens", "n_docs", "root").collect()
