@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import number_or_zero
+from ..operators.stats import any_yes, joined_distinct
 from . import schemas
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -35,12 +37,20 @@ def with_source_order(df: DataFrame) -> DataFrame:
     return df.withColumn("seq", F.monotonically_increasing_id())
 
 
-def toxic_releases(spark: SparkSession, path: str, at: dict[str, int], state: str = "TX") -> DataFrame:
-    """The yearly inventory (tab separated, Latin-1): wanted columns by place, rows of one state."""
+def toxic_releases(spark: SparkSession, path: str, state: str = "TX", counties: tuple[str, ...] = schemas.HOUSTON_COUNTIES) -> DataFrame:
+    """The yearly inventory (tab separated, Latin-1): wanted columns, rows of one state and some counties, amounts as numbers."""
     raw = text_columns(spark, path, "\t", "ISO-8859-1")
-    names = raw.columns
-    picked = raw.select(*[F.col(f"`{names[i]}`").alias(n) for n, i in at.items()])
-    return picked.where(F.trim("state") == state)
+    picked = raw.select(*[F.col(f"`{h}`").alias(n) for n, h in schemas.TRI_HEADERS.items()])
+    here = (F.trim("state") == state) & F.coalesce(F.upper("county").rlike("|".join(counties)), F.lit(False))
+    return picked.where(here).withColumns({c: number_or_zero(F.col(c)) for c in ("latitude", "longitude", "fugitive_lbs", "stack_lbs", "total_air")})
+
+
+def toxic_facilities(releases: DataFrame) -> DataFrame:
+    """One row a facility: summed emissions, first ten chemicals, flags; the largest first."""
+    ids = ["trifd", "facility", "city", "county", "zip", "latitude", "longitude"]
+    known = releases.na.drop(subset=ids)
+    out = known.groupBy(*ids).agg(F.sum("total_air").alias("total_air_emissions_lbs"), joined_distinct("chemical", 10, "; ").alias("chemicals"), any_yes("carcinogen").alias("has_carcinogen"), any_yes("hap").alias("has_hap"))
+    return out.orderBy(F.desc("total_air_emissions_lbs"))
 
 
 def population_rows(documents: DataFrame, column: str = "value", prefix: str = "77") -> DataFrame:

@@ -9,7 +9,22 @@ STATE = "last_ingested_date string, last_run_timestamp string, in_progress struc
 RUN_LOG = "run_id string, script string, status string, started_at string, finished_at string, duration_seconds double, parameters map<string,string>, locations struct<total_zip_centroids:int,cities_found:array<string>,cities_skipped:array<string>>, outputs array<struct<type:string,file:string,row_count:bigint,size_bytes:bigint,variable_count:int,variables:array<string>,api_url:string,batch_size_used:int>>, error string"
 OVERPASS = "array<struct<id:bigint,type:string,lat:double,lon:double,center:struct<lat:double,lon:double>,tags:map<string,string>>>"
 EDGES = "zip string, u bigint, v bigint, length double"
-# The yearly inventory's headers are shifted by one column; these
-# are the logical names of the columns wanted, by their place in the file.
-TRI_NAMES = ("trifd", "facility", "city", "county", "state", "zip", "latitude", "longitude", "chemical", "carcinogen", "hap", "fugitive_lbs", "stack_lbs", "total_air")
-HOUSTON_COUNTIES = ("HARRIS", "FORT BEND", "MONTGOMERY", "BRAZORIA", "GALVESTON")
+# The yearly inventory's headers stand one column beside their data;
+# these are the headers under which each wanted column is found, and the counties.
+TRI_HEADERS = {
+    "trifd": "8. DATE SIGNED",
+    "facility": "9. TRIFD",
+    "city": "11. FACILITY STREET",
+    "county": "12. FACILITY CITY",
+    "state": "13. FACILITY COUNTY",
+    "zip": "14. FACILITY STATE",
+    "latitude": "46. NAICS CODE 6",
+    "longitude": "47. LATITUDE",
+    "chemical": "80. TRI_CHEM_ID",
+    "carcinogen": "87. CARCINOGEN",
+    "hap": "86. HAZARDOUS AIR POLLUTANT - HAPS",
+    "fugitive_lbs": "109. MAXIMUM AMOUNT ON SITE",
+    "stack_lbs": "113. FUGITIVE AIR EMISSIONS - BASIS OF ESTIMATE",
+    "total_air": "117. STACK AIR EMISSIONS - BASIS OF ESTIMATE",
+}
+HOUSTON_COUNTIES = ("HARRIS", "FORT BEND", "BRAZORIA", "GALVESTON", "MONTGOMERY")
