@@ -38,7 +38,7 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     from .stats import average_rank
 
     one = average_rank(df.select(label, score).na.drop(), score, "_r").agg(F.sum(F.when(F.col(label) == 1, F.col("_r"))).alias("s"), F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q"))
-    return one.select(((F.col("s") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * F.col("q"))).alias("auc"))
+    return one.select(F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q")).alias("auc"))
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -48,7 +48,7 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     counts = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q"))
     down = Window.orderBy(F.col(score).desc())
     whole = Window.partitionBy()
-    return counts.select(F.col(score).alias("threshold"), (F.sum("p").over(down) / F.sum("p").over(whole)).alias("tpr"), (F.sum("q").over(down) / F.sum("q").over(whole)).alias("fpr"))
+    return counts.select(F.col(score).alias("threshold"), F.try_divide(F.sum("p").over(down), F.sum("p").over(whole)).alias("tpr"), F.try_divide(F.sum("q").over(down), F.sum("q").over(whole)).alias("fpr"))
 
 
 def shift(train: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:

@@ -25,7 +25,7 @@ def centroids(rings: DataFrame, key: str) -> DataFrame:
     """Centroid (x, y) of each polygon from its rings; is_hole rings are taken off."""
     sign = F.when(F.col("is_hole"), -1.0).otherwise(1.0)
     parts = rings.select(key, (F.abs(ring_area(F.col("ring"))) * sign).alias("a"), *[(ring_moment(F.col("ring"), k) * F.signum(ring_area(F.col("ring"))) * sign).alias(f"m{k}") for k in "xy"])
-    return parts.groupBy(key).agg((F.sum("mx") / F.sum("a")).alias("x"), (F.sum("my") / F.sum("a")).alias("y"))
+    return parts.groupBy(key).agg(F.try_divide(F.sum("mx"), F.sum("a")).alias("x"), F.try_divide(F.sum("my"), F.sum("a")).alias("y"))
 
 
 def parts_of_lines(lines: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def iqr_outliers(df: DataFrame, columns: list[str], k: float) -> DataFrame:
     low = lambda c: F.col(f"_{c}")[0] - k * (F.col(f"_{c}")[1] - F.col(f"_{c}")[0])
     high = lambda c: F.col(f"_{c}")[1] + k * (F.col(f"_{c}")[1] - F.col(f"_{c}")[0])
     counted = marked.agg(*[F.struct(F.count_if((F.col(c) < low(c)) | (F.col(c) > high(c))).alias("outliers"), F.count(c).alias("n")).alias(c) for c in columns])
-    return melt(counted, columns).select("column", "value.outliers", (F.col("value.outliers") * 100.0 / F.col("value.n")).alias("percent"))
+    return melt(counted, columns).select("column", "value.outliers", F.try_divide(F.col("value.outliers") * F.lit(100.0), F.col("value.n")).alias("percent"))
 
 
 def melt(row: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,7 +48,7 @@ def null_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Nulls of each column: n_null, percent."""
     columns = columns or df.columns
     one = df.agg(*[F.struct(F.count_if(F.col(c).isNull()).alias("n_null"), F.count(F.lit(1)).alias("n")).alias(c) for c in columns])
-    return melt(one, columns).select("column", "value.n_null", (F.col("value.n_null") * 100.0 / F.col("value.n")).alias("percent"))
+    return melt(one, columns).select("column", "value.n_null", F.try_divide(F.col("value.n_null") * F.lit(100.0), F.col("value.n")).alias("percent"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -61,13 +61,20 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def data_dictionary(df: DataFrame) -> DataFrame:
     one = df.agg(*[F.struct(F.count(c).alias("non_null"), F.count_if(F.col(c).isNull()).alias("n_null"), F.countDistinct(c).alias("n_unique"), F.count(F.lit(1)).alias("n")).alias(c) for c in df.columns])
     kinds = F.create_map(*[x for c, k in df.dtypes for x in (F.lit(c), F.lit(k))])
-    return melt(one, df.columns).select("column", kinds[F.col("column")].alias("kind"), "value.non_null", "value.n_null", (F.col("value.n_null") * 100.0 / F.col("value.n")).alias("null_percent"), "value.n_unique")
+    return melt(one, df.columns).select("column", kinds[F.col("column")].alias("kind"), "value.non_null", "value.n_null", F.try_divide(F.col("value.n_null") * F.lit(100.0), F.col("value.n")).alias("null_percent"), "value.n_unique")
+
+
+def pearson(a: str, b: str) -> Column:
+    """Pearson's r of rows where both are present; null without spread."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson's r of each pair of columns (rows where both are present), in one pass."""
     pairs = list(combinations(columns, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("r")) for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
 
 
@@ -91,7 +98,7 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Spearman's rho and its p value; under 30 rows or without spread it is 0 and 1."""
     both = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
     ranked = average_rank(average_rank(both, a, "_ra"), b, "_rb")
-    one = ranked.agg(F.count(F.lit(1)).alias("n"), F.corr("_ra", "_rb").alias("rho"), F.stddev_samp(a).alias("sa"), F.stddev_samp(b).alias("sb"))
+    one = ranked.agg(F.count(F.lit(1)).alias("n"), pearson("_ra", "_rb").alias("rho"), F.stddev_samp(a).alias("sa"), F.stddev_samp(b).alias("sb"))
     poor = (F.col("n") < 30) | (F.coalesce("sa", F.lit(0.0)) < 1e-8) | (F.coalesce("sb", F.lit(0.0)) < 1e-8)
     return one.select("n", F.when(poor, 0.0).otherwise(F.col("rho")).alias("rho"))
 
@@ -181,6 +188,6 @@ def any_yes(c: str) -> Column:
 def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
     """VIF of each column: the diagonal of the inverse correlation matrix (a table of columns, not rows, is inverted)."""
     r = {(x.a, x.b): x.r for x in correlations(df.na.drop(subset=columns), columns).collect()}
-    m = np.array([[1.0 if a == b else r.get((a, b), r.get((b, a))) for b in columns] for a in columns])
+    m = np.array([[1.0 if a == b else r.get((a, b), r.get((b, a))) or 0.0 for b in columns] for a in columns])
     vif = np.diag(np.linalg.pinv(m))
     return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(columns, vif)], "column string, vif double")

@@ -488,7 +488,7 @@ def spearman(spark, d):
 @query("WITH g AS (SELECT value AS v, " + ", ".join(f"lag(value, {k}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p{k}" for k in range(1, 6)) + " FROM events) " + " UNION ALL ".join(f"SELECT {k} AS k, corr(v, p{k}) AS r FROM g" for k in range(1, 6)))
 def lag_autocorrelation(spark, d):
     g = windows.lags(read(spark, d, "events"), ["value"], 5, "user_id", ["ts", "event_id"])
-    one = g.agg(*[F.corr("value", f"value_past_{k}").alias(f"p{k}") for k in range(1, 6)])
+    one = g.agg(*[stats.pearson("value", f"value_past_{k}").alias(f"p{k}") for k in range(1, 6)])
     return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"p{k}").alias("r")) for k in range(1, 6)])).alias("x")).select("x.*")
 
 
