@@ -16,18 +16,20 @@ connected component of links.
    than all that is kept.  Two documents agree in a component with probability
    equal to their weighted Jaccard likeness.
 2. ``BANDS`` bands of ``ROWS`` components: likeness 0.8 shares a bucket with
-   probability 1 - 5e-8.
-3. Pairs of a bucket are verified by exact multiset overlap, but never all at
-   once: first each member with the bucket's least id.  After that only members
-   outside the bucket's largest class so far are tried against members of other
-   classes, a growing number of them a round, until none is untried.  A group of
-   n near copies so costs about n pairs and no bucket needs a cap.
-
-Buckets are never gathered: counts and least ids are aggregates with map-side
-combine, pairs come from joins that Spark may split.
+   probability 1 - 3e-6.
+3. Pairs of a bucket are compared by their signatures inside tiles of at most
+   ``TILE`` members, in the first bucket that they share; those that agree in
+   ``AGREE`` of ``M`` components (likeness 0.8 does with probability 1 - 1e-5) are verified by exact multiset overlap of
+   the texts.  At first each member names its best partner only, and then all
+   of other classes than its own that are still untried.  So a group of n near copies costs some n verified pairs, the
+   pairs of a bucket are never written out, and none is capped away: members
+   outside a bucket's largest class meet every tile of it in the last round.
+
+A bucket's members are counted with map-side combine and dealt to tiles before
+any task gathers them.
 
 Defined results: texts without words form one class; rows that share an id are
-one document; a row without id has the class of the documents of equal words
+one document, whose near copies are those of one of its texts; a row without id has the class of the documents of equal words
 (null if none has an id); an empty table gives no rows; other columns are ignored.
 """
 
@@ -43,10 +45,10 @@ from pyspark.sql import functions as F
 from .common import PUNCTUATION, Words, blocks, bounded, components, ensure_path, mix64, staged, unstage, windows
 
 WIDTH, SIMILARITY = 5, 0.8
-BANDS, ROWS = 32, 4
-M = BANDS * ROWS
-#: Members tried against a whole bucket in each round after the first; then all that are left.
-TRIED = (8, 64, 512)
+BANDS, ROWS, M = 42, 6, 256
+AGREE, TILE = 177, 1024
+#: Partners that a member names in a bucket's tile, by round; then all.
+PARTNERS = (1,)
 #: Id lists of at most so many rows are broadcast to find their texts.
 ID_ROWS = 1_000_000
 
@@ -110,13 +112,18 @@ def signatures(element: np.ndarray, count: np.ndarray, owner: np.ndarray, n_docs
 
 def bands(signature: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each band, its number included."""
-    bits = np.ascontiguousarray(signature).view(np.uint64).reshape(len(signature), BANDS, ROWS)
+    bits = np.ascontiguousarray(signature[:, : BANDS * ROWS]).view(np.uint64).reshape(len(signature), BANDS, ROWS)
     h = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD, (len(signature), 1))
     for j in range(ROWS):
         h = mix64(h ^ mix64(bits[:, :, j] + np.uint64(j)))
     return h
 
 
+def short(signature: np.ndarray) -> np.ndarray:
+    """A byte of each component."""
+    return (mix64(np.ascontiguousarray(signature).view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+
+
 def text_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each document's word sequence."""
     out = []
@@ -136,6 +143,9 @@ def _runs(h: np.ndarray, first: np.ndarray, size: int, salt: int) -> np.ndarray:
     return (mix64(h[first[:, None] + np.arange(size)] + np.uint64(salt)) * mult).sum(axis=1, dtype=np.uint64)
 
 
+_SIGNED = "doc_id long, k1 long, k2 long, bands array<long>, signature binary"
+
+
 def _sign_task(with_bands: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -144,6 +154,7 @@ def _sign_task(with_bands: bool):
                 words = Words(part.column("text").cast(pa.binary()).to_pylist(), PUNCTUATION)
                 k1, k2 = text_keys(words)
                 rows: list[np.ndarray | None] = [None] * len(part)
+                signed: list[bytes | None] = [None] * len(part)
                 if with_bands:
                     element, count, owner = multisets(words)
                     fresh = np.zeros(len(part), bool)
@@ -154,11 +165,12 @@ def _sign_task(with_bands: bool):
                         seen.clear()
                     mine = fresh[owner]
                     number = np.cumsum(fresh) - 1
-                    got = bands(signatures(element[mine], count[mine], number[owner[mine]], int(fresh.sum()))).view(np.int64)
+                    full = signatures(element[mine], count[mine], number[owner[mine]], int(fresh.sum()))
+                    got, byte = bands(full).view(np.int64), short(full)
                     for j, i in enumerate(np.flatnonzero(fresh)):
-                        rows[i] = got[j]
-                cols = [part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(rows, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "bands"])
+                        rows[i], signed[i] = got[j], byte[j].tobytes()
+                cols = [part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(rows, pa.list_(pa.int64())), pa.array(signed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "bands", "signature"])
 
     return run
 
@@ -189,7 +201,7 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) with the likeness of their texts."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ids = staged(ids, "near-ids")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(bounded(ids, ID_ROWS), "id").dropDuplicates(["id"])
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(bounded(ids, ID_ROWS), "id")
     texts = staged(texts, "near-texts")
     unstage(ids)
     both = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a").join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
@@ -198,48 +210,119 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return out
 
 
+def tile_pairs(group: np.ndarray, ids: np.ndarray, classes: np.ndarray, asks: np.ndarray, signature: np.ndarray, banded: np.ndarray, bucket: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by group: pairs of one group and different classes, one of which asks, that agree enough and share no earlier bucket; most: each asker's best so many."""
+    band = (banded == bucket[:, None]).argmax(1)
+    size = np.diff(np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group)))
+    begin = np.cumsum(size) - size
+    out_a, out_b = [], []
+    x_all = np.flatnonzero(asks)
+    first, count = np.repeat(begin, size)[x_all], np.repeat(size, size)[x_all]
+    at = 0
+    while at < len(x_all):
+        # some askers against all of their groups: about 16384 pairs at a time, one asker at least
+        stop = max(at + 1, int(np.searchsorted(np.cumsum(count[at:]), 16384, side="right")) + at)
+        x = np.repeat(x_all[at:stop], count[at:stop])
+        c = count[at:stop]
+        y = np.repeat(first[at:stop], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        ok = (classes[x] != classes[y]) & (ids[x] != ids[y])
+        x, y = x[ok], y[ok]
+        agree = (signature[x] == signature[y]).sum(1)
+        ok = agree >= AGREE
+        x, y, agree = x[ok], y[ok], agree[ok]
+        ok = (banded[x] == banded[y]).argmax(1) == band[x]
+        x, y, agree = x[ok], y[ok], agree[ok]
+        if most is not None and len(x):
+            order = np.lexsort((ids[y], -agree, x))
+            x, y = x[order], y[order]
+            new = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+            rank = np.arange(len(x)) - np.repeat(new, np.diff(np.append(new, len(x))))
+            x, y = x[rank < most], y[rank < most]
+        out_a.append(np.minimum(ids[x], ids[y]))
+        out_b.append(np.maximum(ids[x], ids[y]))
+        at = stop
+    if not out_a:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], 1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _tile_task(most: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emit(rows: pa.Table) -> pa.RecordBatch:
+            get = lambda c: rows.column(c).combine_chunks().to_numpy(zero_copy_only=False)
+            signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, M)
+            banded = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            a, b = tile_pairs(get("tile"), get("id"), get("c"), get("asks"), signature, banded, get("bucket"), most)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        held: pa.Table | None = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            tile = held.column("tile").combine_chunks().to_numpy()
+            cut = int(np.searchsorted(tile, tile[-1]))  # the last tile may go on
+            if cut >= 4096:
+                yield emit(held.slice(0, cut))
+                held = held.slice(cut).combine_chunks()
+        if held is not None and len(held):
+            yield emit(held)
+
+    return run
+
+
+def _tiled(rows: DataFrame, most: int | None) -> DataFrame:
+    """Pairs (a, b) from rows (bucket, n, id, c, asks, signature, bands), bucket's members in tiles of about TILE at most.
+
+    A member is at home in one tile; an asker visits all others if most is None.
+    """
+    n_tiles = F.expr(f"(n + {TILE - 1}) div {TILE}")
+    home = F.pmod(F.xxhash64("id"), n_tiles)
+    if most is None:
+        visits = F.when(F.col("asks"), F.sequence(F.lit(0).cast("long"), n_tiles - 1)).otherwise(F.array(home))
+        rows = rows.withColumn("t", F.explode(visits))
+    else:
+        rows = rows.withColumn("t", home)
+    rows = rows.select(F.xxhash64("bucket", "t").alias("tile"), "bucket", "id", "c", "asks", "signature", "bands")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(_tile_task(most), "a long, b long").distinct()
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, class_id, n_links) for every row of docs: the least id of its class, and its vertex's verified links."""
     spark = docs.sparkSession
     ensure_path(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = staged(docs.mapInArrow(_sign_task(True), "doc_id long, k1 long, k2 long, bands array<long>"), "near-rows")
-    vertex = staged(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("bands", ignorenulls=True).alias("bands")), "near-vertices")
-    banded = vertex.where("id is not null").select("id", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
-    held = staged(banded.join(shared, "bucket").distinct(), "near-buckets")
-
-    pairs = held.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    tried = verify(docs, staged(pairs, "near-pairs"))
-    classes, round_ = None, 0
-    while True:
-        links = tried.where(F.col("likeness") >= SIMILARITY)
-        unstage(classes)
-        classes = staged(components(links, "near-classes"), "near-classes")
-        own = held.where("n > 2").join(classes, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c"))
+    rows = staged(docs.mapInArrow(_sign_task(True), _SIGNED), "near-rows")
+    vertex = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.max(F.when(F.col("bands").isNotNull(), F.struct("bands", "signature"))).alias("signed"))
+    vertex = staged(vertex.select("k1", "k2", "id", "signed.bands", "signed.signature"), "near-vertices")
+    # an id that stands for several texts (repeated ids) is searched by one of them
+    signed = vertex.where("id is not null and bands is not null").groupBy("id").agg(F.max(F.struct("signature", "bands")).alias("s"))
+    signed = staged(signed.select("id", "s.*"), "near-signed")
+    banded = signed.select("id", F.explode("bands").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    held = staged(banded.join(shared, "bucket"), "near-buckets")
+    in_bucket = staged(signed.join(held.select("id").distinct(), "id"), "near-signatures")
+    unstage(signed)
+
+    first = held.join(in_bucket, "id").select("bucket", "n", "id", F.col("id").alias("c"), F.lit(True).alias("asks"), "signature", "bands")
+    tried = verify(docs, staged(_tiled(first, PARTNERS[0]), "near-pairs"))
+    classes = staged(components(tried.where(F.col("likeness") >= SIMILARITY), "near-components"), "near-classes")
+    for most in (*PARTNERS[1:], None):
+        own = held.where("n > 2").join(classes, "id", "left").select("bucket", "n", "id", F.coalesce("class_id", "id").alias("c"))
         sizes = own.groupBy("bucket", "c").agg(F.count("*").alias("k"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("k", F.lit(0) - F.col("c"))).alias("main"), F.count("*").alias("n_classes")).where("n_classes > 1").select("bucket", "main")
-        open_ = staged(own.join(largest, "bucket"), "near-open")
-        if open_.isEmpty():
-            break
-        askers = open_.where("c <> main").select("bucket", F.col("id").alias("x"), F.col("c").alias("cx"))
-        if round_ < len(TRIED):
-            # a salted choice, another each round
-            share = F.pmod(F.xxhash64("bucket", "x", F.lit(round_)), F.greatest(F.lit(1).cast("long"), F.expr(f"k_out div {TRIED[round_]}")))
-            k_out = askers.groupBy("bucket").agg(F.count("*").alias("k_out"))
-            askers = askers.join(k_out, "bucket").where(share == 0).drop("k_out")
-        more = askers.join(open_, "bucket").where("cx <> c").select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-        more = staged(more.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
-        unstage(open_)
+        largest = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("k", -F.col("c"))).alias("main"), F.count("*").alias("n_classes")).where("n_classes > 1").select("bucket", "main")
+        open_ = own.join(largest, "bucket").withColumn("asks", F.col("c") != F.col("main")).drop("main")
+        more = _tiled(open_.join(in_bucket, "id"), most).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        more = staged(more, "near-pairs")
         if more.isEmpty():
-            if round_ >= len(TRIED):
+            if most is None:
                 break
-            round_ += 1
             continue
         tried = staged(tried.unionByName(verify(docs, more)), "near-tried")
-        round_ += 1
+        classes = staged(components(tried.where(F.col("likeness") >= SIMILARITY), "near-components"), "near-classes")
 
-    links = tried.where(F.col("likeness") >= SIMILARITY)
+    links = tried.where(F.col("likeness") >= SIMILARITY).select("a", "b").distinct()
     ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
     known = vertex.select("k1", "k2", "id").join(classes, "id", "left").join(ends, "id", "left")
     known = known.select("k1", "k2", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
@@ -251,18 +334,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     ensure_path(docs.sparkSession)
     found = staged(near_classes(docs), "near-found")
     kept = staged(found.select(F.col("class_id").alias("kept_id")).where("kept_id is not null").distinct(), "near-kept")
-    out = docs.join(bounded(kept, ID_ROWS), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    kept = bounded(kept, ID_ROWS)
+    out = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
     n_ids = found.agg(F.count("doc_id"), F.countDistinct("doc_id"), F.count("*")).first()
     if n_ids[0] != n_ids[1]:
         out = out.dropDuplicates(["doc_id"])
     if n_ids[0] != n_ids[2]:
-        keys = lambda d: d.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign_task(False), "doc_id long, k1 long, k2 long, bands array<long>").select("k1", "k2")
+        keys = lambda d: d.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign_task(False), _SIGNED).select("k1", "k2")
         lone = docs.where("doc_id is null").dropDuplicates(["text"])
         # rows without id: those whose words no row with id has, one of each
         known = keys(docs.where("doc_id is not null")).distinct()
         new = keys(lone).distinct().join(known, ["k1", "k2"], "left_anti")
         keyed = lone.select(F.struct(*lone.columns).alias("row"), "text").withColumn("doc_id", F.monotonically_increasing_id())
         keyed = staged(keyed, "near-lone")
-        of = keyed.select("doc_id", "text").mapInArrow(_sign_task(False), "doc_id long, k1 long, k2 long, bands array<long>").join(new, ["k1", "k2"]).groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
+        of = keyed.select("doc_id", "text").mapInArrow(_sign_task(False), _SIGNED).join(new, ["k1", "k2"]).groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
         out = out.unionByName(keyed.join(of, "doc_id", "left_semi").select("row.*"))
     return out
