@@ -73,6 +73,7 @@ def sketches(items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD)
 
 def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (doc_id, item_id, n_shingles, n_found, containment) of contained items."""
+    docs = docs.select("doc_id", "text")
     items = staged(items.select("item_id", _words(F.col("text")).alias("words")).withColumn("item_key", F.xxhash64("item_id", "words")), "leaks-items")
     sketch = staged(sketches(items.dropDuplicates(["item_key"]), width, threshold), "leaks-sketches")
     streamed = docs.select("doc_id", _words(F.col("text")).alias("words")).select("doc_id", F.size("words").alias("n_words"), F.explode(_hashes(width)).alias("h"))
@@ -91,7 +92,7 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no item."""
     bad = leaks(docs, items, width, threshold).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 
 
 ORACLE_SQL = r"""
