@@ -100,7 +100,7 @@ class ByteNet:
         owner = np.repeat(np.arange(len(first)), count)
         d_hidden = (d_both[:, HIDDEN:] / count[:, None])[owner]
         is_top = hidden == both[owner, :HIDDEN]
-        d_hidden += is_top * d_both[owner, :HIDDEN]
+        d_hidden += is_top * (d_both[:, :HIDDEN] / np.add.reduceat(is_top, first, axis=0, dtype=np.float32))[owner]  # ties share
         d_hidden *= hidden > 0
         g["w2"], g["b2"] = chunk.T @ d_hidden, d_hidden.sum(0)
         d_chunk = d_hidden @ p["w2"].T
