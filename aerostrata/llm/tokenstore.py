@@ -197,7 +197,7 @@ def cut_points(ids: np.ndarray, doc_end: np.ndarray) -> list[list[int]]:
         return []
     value = np.zeros(len(ids), np.uint64)
     coded = _gear[ids & 0xFFFF]
-    for j in range(WINDOW):
+    for j in range(min(WINDOW, len(ids))):
         value[j:] += coded[: len(ids) - j] * np.uint64(pow(_MULT, j, 1 << 64))
     marks = (np.flatnonzero((value >> np.uint64(33)) % np.uint64(MEAN_IDS - MIN_IDS) == 0) + 1).tolist()
     out, at, m = [], 0, 0
