@@ -4,6 +4,8 @@ from pathlib import Path
 
 import pytest
 
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small matrices; Spark's tasks take the cores
+
 ROOT = str(Path(__file__).resolve().parents[1])
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, os.environ.get("PYTHONPATH", "")) if x)
