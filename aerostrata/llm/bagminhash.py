@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Words, blocks, bounded, components, ensure_path, mix64, staged, unstage, windows
+from .common import PUNCTUATION, Words, blocks, bounded, components, ensure_path, mix64, release_memory, staged, unstage, windows
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS, M = 42, 6, 256
@@ -171,6 +171,7 @@ def _sign_task(with_bands: bool):
                         rows[i], signed[i] = got[j], byte[j].tobytes()
                 cols = [part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(rows, pa.list_(pa.int64())), pa.array(signed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "bands", "signature"])
+        release_memory()
 
     return run
 
@@ -195,6 +196,7 @@ def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for some in blocks(part, "text_b"):
                 like = overlap(*(some.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b")))
                 yield pa.RecordBatch.from_arrays([some.column("a"), some.column("b"), pa.array(like)], ["a", "b", "likeness"])
+    release_memory()
 
 
 def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -267,6 +269,8 @@ def _tile_task(most: int | None):
                 held = held.slice(cut).combine_chunks()
         if held is not None and len(held):
             yield emit(held)
+        held = None
+        release_memory()
 
     return run
 

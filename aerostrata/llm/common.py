@@ -8,6 +8,8 @@ gives the same words as cutting the characters.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handled in blocks of about so many bytes, which bounds a worker's memory.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -32,8 +34,15 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Rows of an Arrow batch of texts, where the session has Spark's default (10,000): long texts stay within memory.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ensure_path(spark: SparkSession) -> None:
-    """Let Python workers started from another folder import this package."""
+    """Let Python workers started from another folder import this package, and keep their batches small."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
@@ -82,6 +91,13 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system: workers stay for later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser: a bijection of 64-bit numbers that spreads their bits."""
     x = x.astype(np.uint64, copy=True)

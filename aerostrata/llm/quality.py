@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, crc_mod, ensure_path
+from .common import blocks, crc_mod, ensure_path, release_memory
 from .training import Adam, labelled_sample, segment_max, sigmoid
 
 HALF, WIDTH, STRIDE = 128, 5, 2
@@ -176,6 +176,7 @@ def _keep_task(net: ByteNet):
             for part in blocks(batch):
                 kept = net.scores(part.column("text").to_pylist()) >= THRESHOLD
                 yield part.filter(pa.array(kept))
+        release_memory()
 
     return run
 

@@ -37,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, ensure_path, mix64
+from .common import Words, blocks, ensure_path, mix64, release_memory
 
 END_ID = 0
 #: Shortest, mean (a power of two) and longest chunk, in ids; the rolling hash's window.
 MIN_IDS, MEAN_IDS, MAX_IDS, WINDOW = 64, 256, 1024, 16
 DIGEST = 16
 #: A worker remembers the ids of 0.6 * 2 ** TABLE_BITS distinct pieces, and the digests of so many chunks that it has sent.
-TABLE_BITS = 22
+TABLE_BITS = 21
 CACHE = 250_000
 #: Unknown pieces encoded in one call.
 GROUP = 200
@@ -263,6 +263,7 @@ def _encode_task(spec: str, end_id: int):
                 keys = [x[0] for x in fresh] + [digest(struct.pack("<q", r)) for r in rids]
                 cols = [[0] * n + [1] * m, keys, [x[1] for x in fresh] + [None] * m, [None] * n + rids, [None] * n + part.column("doc_id").to_pylist(), [None] * n + sizes.tolist(), [None] * n + chunks]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+        release_memory()
 
     return run
 
