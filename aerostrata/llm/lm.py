@@ -10,12 +10,14 @@ documents.  A document's score is its mean loss per token under the target
 model less that under the background model: the lower, the more it is like the
 target.
 
-Counts are taken over every word of every document.  They live in hashed cells
-(``2 ** VOCABULARY_BITS`` to tell the vocabulary, ``2 ** UNI_BITS`` for words,
-``2 ** BI_BITS`` for pairs), which bounds what is
-broadcast for scoring (8 bytes a cell) however large the
-corpus is; workers' sparse tables, which grow with it, are summed cell range by
-cell range in streams.  Scoring is then one pass without a shuffle.
+Counts are exact, over every word of every document: nothing is pruned.  The
+vocabulary and its words' counts are sorted arrays that grow with the corpus and
+are broadcast (24 bytes a word).  The most frequent pairs of words (at most
+``HOT``) are counted apart and broadcast, which keeps any one of them from
+filling a task.  All other pairs, summed within each document, are shuffled once
+by pair; there they are counted, and their losses go back to the documents.
+Losses are summed as whole multiples of 1 / ``UNIT``, so equal texts get equal
+sums in any order.
 
 Defined results: null and empty texts have no tokens and losses and score 0;
 documents without a label count for the background alone, and where no document
@@ -29,164 +31,240 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, bounded, ensure_path, mix64, staged
+from .common import Words, blocks, bounded, ensure_path, staged, unstage
 
-VOCABULARY_BITS, UNI_BITS, BI_BITS = 23, 20, 22
-#: Cell ranges that are summed apart, of each kind of table.
-RANGES = 64
 LEAST, MU = 2, 4.0
 #: Lists of at most so many labelled ids are broadcast.
 LABEL_ROWS = 2_000_000
+#: At most so many pairs of words are broadcast, the most frequent ones.
+HOT = 1 << 14
+#: Counts beyond this are not told apart where the most frequent pairs are chosen.
+MOST_TOLD = 1 << 16
+#: A pair may be chosen if it occurs so often in one worker's HELD tokens.
+OFTEN = 8
+#: A worker sums the words or pairs of so many tokens before it sends them on.
+HELD = 1 << 20
+UNIT = float(1 << 32)
+BEGIN, UNKNOWN, FIRST = 0, 1, 2
+
+
+def contexts(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The word before each, BEGIN at a document's begin."""
+    left = np.empty_like(word)
+    left[1:] = word[:-1]
+    left[doc[:-1][np.diff(doc) > 0]] = BEGIN
+    return left
 
 
-def word_cells(words: Words, bits: int = VOCABULARY_BITS) -> np.ndarray:
-    return (words.hashes() >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def pair_cells(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (mix64((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)) >> np.uint64(64 - BI_BITS)).astype(np.int64)
+def places(keys: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key's place in a sorted array, and whether it is there."""
+    if not len(among):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
+    return at, among[at] == keys
 
 
-def contexts(cell: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """The word before each, 0 (a cell kept for it) at a document's begin."""
-    left = np.empty_like(cell)
-    left[1:] = cell[:-1]
-    left[doc[:-1][np.diff(doc) > 0]] = 0
-    return left
+def numbers(words: Words, vocabulary: np.ndarray) -> np.ndarray:
+    """Words' numbers: FIRST and up in the vocabulary (sorted hashes), UNKNOWN outside."""
+    distinct, back = np.unique(words.hashes().view(np.int64), return_inverse=True)
+    at, there = places(distinct, vocabulary)
+    return np.where(there, at + FIRST, UNKNOWN)[back]
 
 
-def known_cells(words: Words, vocabulary: np.ndarray) -> np.ndarray:
-    """Words' cells; 1 is the unknown word's, 0 the begin's."""
-    fine = word_cells(words)
-    cell = fine >> (VOCABULARY_BITS - UNI_BITS)
-    return np.where(vocabulary[fine] & (cell > 1), cell, 1)
+def pairs(words: Words, vocabulary: np.ndarray) -> np.ndarray:
+    """For each word, the number of the one before and its own in one."""
+    word = numbers(words, vocabulary)
+    return contexts(word, words.doc) << 32 | word
 
 
-def _emit(tables: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    codec = pa.Codec("zstd", compression_level=1)
-    for kind, table in tables.items():
-        size = len(table) // RANGES
-        for r in range(RANGES):
-            part = table[r * size : (r + 1) * size]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([kind * RANGES + r], pa.int32()), pa.array([codec.compress(part.tobytes(), asbytes=True)], pa.binary())], ["cells", "counts"])
+def _counted(key: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
+    """Distinct keys with their counts, in all documents and in good ones."""
+    distinct, back = np.unique(key, return_inverse=True)
+    n = np.bincount(back, minlength=len(distinct))
+    n_good = np.bincount(back[good], minlength=len(distinct))
+    return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(n), pa.array(n_good)], ["key", "n", "n_good"])
 
 
-def _word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word counts of target documents."""
-    table = np.zeros(1 << VOCABULARY_BITS, np.uint32)
-    for batch in batches:
-        for part in blocks(batch):
-            np.add.at(table, word_cells(Words(part.column("text").cast(pa.binary()).to_pylist())), np.uint32(1))
-    yield from _emit({0: table})
+def _count_task(keys, least: int = 1):
+    """Counts of the keys (and their documents' places) of blocks' words, summed over about HELD words; keys of 0 and more only where they count least."""
 
-
-def _pair_task(vocabulary: np.ndarray):
-    """Kinds: 0, 1 words of background and target (cell 0: documents with words); 2, 3 pairs of them."""
+    def sent(held: list) -> pa.RecordBatch:
+        out = _counted(*(np.concatenate(x) for x in zip(*held)))
+        if least == 1:
+            return out
+        return out.filter(pa.array((out.column("n").to_numpy() >= least) | (out.column("key").to_numpy() < 0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {k: np.zeros(1 << (UNI_BITS if k < 2 else BI_BITS), np.uint32) for k in range(4)}
+        held, size = [], 0
         for batch in batches:
             for part in blocks(batch):
                 words = Words(part.column("text").cast(pa.binary()).to_pylist())
-                cell = known_cells(words, vocabulary)
-                pair = pair_cells(contexts(cell, words.doc), cell)
-                good = np.repeat(np.asarray(part.column("good").to_pylist(), bool), words.counts)
-                full = words.counts > 0
-                tables[0][0] += np.uint32(full.sum())
-                tables[1][0] += np.uint32((full & np.asarray(part.column("good").to_pylist(), bool)).sum())
-                np.add.at(tables[0], cell, np.uint32(1))
-                np.add.at(tables[2], pair, np.uint32(1))
-                np.add.at(tables[1], cell[good], np.uint32(1))
-                np.add.at(tables[3], pair[good], np.uint32(1))
-        yield from _emit(tables)
+                key, owner = keys(words)
+                held.append((key, np.asarray(part.column("good").to_pylist(), bool)[owner]))
+                size += len(key)
+                if size >= HELD:
+                    yield sent(held)
+                    held, size = [], 0
+        if size:
+            yield sent(held)
 
     return run
 
 
-def _sum_task(sizes: dict[int, int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, total = pa.Codec("zstd"), {}
-        for batch in batches:
-            for r, counts in zip(batch.column("cells").to_pylist(), batch.column("counts").to_pylist()):
-                n = sizes[r // RANGES] // RANGES
-                got = np.frombuffer(codec.decompress(counts, 4 * n, asbytes=True), np.uint32)
-                total[r] = total.get(r, 0) + got.astype(np.float64)
-        for r, n in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([codec.compress(n.astype(np.float32).tobytes(), asbytes=True)], pa.binary())], ["cells", "counts"])
+def _counts(marked: DataFrame, keys, least: int = 1) -> DataFrame:
+    sent = marked.mapInArrow(_count_task(keys, least), "key long, n long, n_good long")
+    return sent.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_good").alias("n_good"))
 
-    return run
+
+def _word_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    return words.hashes().view(np.int64), words.owner()
+
+
+def _all_keys(known):
+    """Pairs, and words (and documents' begins) as -1 less their numbers."""
+
+    def keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+        pair, owner, full = pairs(words, known.value), words.owner(), np.flatnonzero(words.counts)
+        return np.concatenate([pair, -1 - (pair & 0xFFFFFFFF), np.full(len(full), -1 - BEGIN)]), np.concatenate([owner, owner, full])
+
+    return keys
 
 
-def _summed(counted: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
-    """Sums of workers' tables: tables of fixed size, whatever the corpus."""
-    out = {k: np.zeros(n, np.float32) for k, n in sizes.items()}
-    codec = pa.Codec("zstd")
-    sums = counted.repartition(RANGES * len(sizes), "cells").mapInArrow(_sum_task(sizes), "cells int, counts binary")
-    for row in sums.collect():
-        kind, r = divmod(row.cells, RANGES)
-        n = sizes[kind] // RANGES
-        out[kind][r * n : (r + 1) * n] = np.frombuffer(codec.decompress(row.counts, 4 * n, asbytes=True), np.float32)
-    return out
+def _hot_keys(known, hot):
+    def keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+        pair, owner = pairs(words, known.value), words.owner()
+        there = places(pair, hot.value)[1]
+        return pair[there], owner[there]
 
+    return keys
 
-class Model:
-    """Smoothed bigram probabilities from hashed counts."""
 
-    def __init__(self, words: np.ndarray, pairs: np.ndarray, n_words: int):
-        self.words, self.pairs, self.n_words = words, pairs, n_words
-        self.total = float(words[1:].sum(dtype=np.float64))
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    return [c.to_numpy() for c in df.toArrow().columns]
 
-    def losses(self, left: np.ndarray, cell: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        one = (self.words[cell] + 1 / self.n_words) / (self.total + 1)
-        return -np.log((self.pairs[pair] + MU * one) / (np.maximum(self.words[left], self.pairs[pair]) + MU))
 
+class Models:
+    """Smoothed bigram probabilities of the target and of the background, from exact counts."""
 
-def document_losses(words: Words, vocabulary: np.ndarray, models: tuple[Model, ...]) -> list[np.ndarray]:
-    """Each document's summed loss under each model."""
-    cell = known_cells(words, vocabulary)
-    left = contexts(cell, words.doc)
-    pair = pair_cells(left, cell)
-    owner = words.owner()
-    return [np.bincount(owner, m.losses(left, cell, pair), words.n) for m in models]
+    def __init__(self, words: list[np.ndarray]):
+        self.words = words
+        self.n_words = len(words[0]) - FIRST + 1
+        self.totals = [float(w[UNKNOWN:].sum()) for w in words]
+
+    def losses(self, key: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+        """Losses of pairs that occur so often in target and background, in units."""
+        left, word = key >> 32, key & 0xFFFFFFFF
+        out = []
+        for words, total, n in zip(self.words, self.totals, counts):
+            one = (words[word] + 1 / self.n_words) / (total + 1)
+            out.append(np.rint(-np.log((n + MU * one) / (words[left] + MU)) * UNIT).astype(np.int64))
+        return out
+
+
+def _loss_task(models):
+    """Losses of counted pairs; documents' own rows stay as they are."""
+    names = ["row", "doc_id", "n_tokens", "target", "background"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, times, n, n_good = (batch.column(c).to_numpy() for c in ("key", "times", "n", "n_good"))
+            pair = np.maximum(key, 0)
+            sums = []
+            for losses, name in zip(models.value.losses(pair, (n_good, n)), names[3:]):
+                sums.append(pa.array(np.where(key < 0, pc.fill_null(batch.column(name), 0).to_numpy(), losses * times)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *sums], names)
+
+    return run
 
 
 def _score_task(shared):
+    """A row for each document (key below 0, losses of its frequent pairs) and one for each of its other pairs."""
+    names = ["row", "key", "times", "good", "doc_id", "n_tokens", "target", "background"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, models = shared.value
+        from pyspark import TaskContext
+
+        vocabulary, hot, target, background = shared.value
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in blocks(batch):
                 words = Words(part.column("text").cast(pa.binary()).to_pylist())
-                target, background = document_losses(words, vocabulary, models)
-                n = np.maximum(words.counts, 1)
-                cols = [part.column("doc_id"), pa.array(words.counts), pa.array(target / n), pa.array(background / n), pa.array((target - background) / n)]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+                key, owner = pairs(words, vocabulary), words.owner()
+                distinct, back = np.unique(key, return_inverse=True)
+                at, there = places(distinct, hot)
+                sums = []
+                for losses in (target, background):
+                    own = np.where(there, losses[at] if len(losses) else 0, 0)[back]
+                    total = np.zeros(len(own) + 1, np.int64)
+                    np.cumsum(own, out=total[1:])
+                    sums.append(np.diff(total[words.doc]))
+                rows = row + np.arange(words.n)
+                good = np.asarray(part.column("good").to_pylist(), bool)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(-1 - rows), pa.array(np.ones(words.n, np.int64)), pa.array(good), part.column("doc_id"), pa.array(words.counts), *map(pa.array, sums)], names)
+                cold = ~there[back]
+                if cold.any():
+                    mine, times = np.unique(owner[cold] * len(distinct) + back[cold], return_counts=True)
+                    n, own = len(mine), mine // len(distinct)
+                    yield pa.RecordBatch.from_arrays([pa.array(row + own), pa.array(distinct[mine % len(distinct)]), pa.array(times), pa.array(good[own]), *[pa.nulls(n, pa.int64())] * 4], names)
+                row += words.n
 
     return run
 
 
-def train(docs: DataFrame, good_ids: DataFrame) -> tuple[np.ndarray, tuple[Model, Model]]:
-    """The shared vocabulary, and the target's and the background's model."""
-    ensure_path(docs.sparkSession)
-    good_ids = staged(good_ids.where("good_id is not null").distinct(), "lm-good")
-    marked = docs.select("doc_id", "text").join(bounded(good_ids, LABEL_ROWS), F.col("doc_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("good"))
-    schema = "cells int, counts binary"
-    seen = _summed(marked.where("good").select("text").mapInArrow(_word_task, schema), {0: 1 << VOCABULARY_BITS})[0]
-    vocabulary = seen >= LEAST
-    counts = _summed(marked.mapInArrow(_pair_task(vocabulary), schema), {k: 1 << (UNI_BITS if k < 2 else BI_BITS) for k in range(4)})
-    if not counts[1].any():
-        counts[1], counts[3] = counts[0], counts[2]
-    n_words = int(np.count_nonzero(vocabulary)) + 1
-    return vocabulary, (Model(counts[1], counts[3], n_words), Model(counts[0], counts[2], n_words))
+def _least_hot(counted: DataFrame) -> int:
+    """The least count from which on there are at most HOT pairs."""
+    told = counted.groupBy(F.least("n", F.lit(MOST_TOLD)).alias("n")).agg(F.count(F.lit(1)).alias("pairs"))
+    total, least = 0, MOST_TOLD
+    for r in sorted(told.collect(), reverse=True):
+        total += r.pairs
+        if total > HOT:
+            break
+        least = r.n
+    return least
+
+
+def train(marked: DataFrame):
+    """Of documents marked good or not: the vocabulary (broadcast), both models, whether the target is empty, and the frequent pairs with their counts in target and background."""
+    context = marked.sparkSession.sparkContext
+    seen = _counts(marked.where("good"), _word_keys)
+    vocabulary = np.sort(_columns(seen.where(F.col("n") >= LEAST).select("key"))[0])
+    known = context.broadcast(vocabulary)
+    counted = staged(_counts(marked, _all_keys(known), OFTEN), "lm-counts")
+    words = [np.zeros(len(vocabulary) + FIRST) for _ in range(2)]
+    word, n, n_good = _columns(counted.where("key < 0"))
+    words[0][-1 - word], words[1][-1 - word] = n_good, n
+    often = counted.where("key >= 0")
+    hot = np.sort(_columns(often.where(F.col("n") >= _least_hot(often)).select("key"))[0])
+    pair, n, n_good = _columns(_counts(marked, _hot_keys(known, context.broadcast(hot))))
+    order = np.argsort(pair)
+    unstage(counted)
+    alone = not words[0].any()
+    if alone:
+        words[0], n_good = words[1], n
+    return known, Models(words), alone, pair[order], (n_good[order], n[order])
 
 
 def score(docs: DataFrame, good_ids: DataFrame) -> DataFrame:
     """Every row's doc_id, n_tokens, target_loss, background_loss, score; good_ids (good_id) are the target's."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, good_ids))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_score_task(shared), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    spark = docs.sparkSession
+    ensure_path(spark)
+    good_ids = staged(good_ids.where("good_id is not null").distinct(), "lm-good")
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bounded(good_ids, LABEL_ROWS), F.col("doc_id") == F.col("good_id"), "left").select("doc_id", "text", F.col("good_id").isNotNull().alias("good"))
+    known, models, alone, hot, counts = train(marked.select("text", "good"))
+    losses = models.losses(hot, counts)
+    shared, models = spark.sparkContext.broadcast((known.value, hot, *losses)), spark.sparkContext.broadcast(models)
+    parts = marked.mapInArrow(_score_task(shared), "row long, key long, times long, good boolean, doc_id long, n_tokens long, target long, background long")
+    same = Window.partitionBy("key")
+    n = F.sum("times").over(same)
+    counted = parts.select("*", n.alias("n"), n.alias("n_good") if alone else F.sum(F.when(F.col("good"), F.col("times")).otherwise(0)).over(same).alias("n_good")).drop("good")
+    sums = counted.mapInArrow(_loss_task(models), "row long, doc_id long, n_tokens long, target long, background long")
+    sums = sums.groupBy("row").agg(*[F.max(c).alias(c) for c in ("doc_id", "n_tokens")], *[F.sum(c).alias(c) for c in ("target", "background")])
+    n, t, b = F.greatest("n_tokens", F.lit(1)) * UNIT, F.col("target"), F.col("background")
+    return sums.select("doc_id", "n_tokens", (t / n).alias("target_loss"), (b / n).alias("background_loss"), ((t - b) / n).alias("score"))
 
 
 def good_documents(labels: DataFrame) -> DataFrame:

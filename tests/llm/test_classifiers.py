@@ -118,6 +118,38 @@ def test_lm_against_brute_force(spark):
     assert np.mean(errors) < 0.01  # hashed cells collide now and then
 
 
+@pytest.mark.parametrize("hot", [0, 50, lm.HOT])
+def test_lm_counts_are_exact(spark, monkeypatch, hot):
+    """Equal counts by hand, however many pairs are broadcast; more distinct pairs than hashed cells would tell apart."""
+    import collections
+    import math
+
+    monkeypatch.setattr(lm, "HOT", hot)
+    r = np.random.default_rng(4)
+    texts = {i: [f"w{x}" for x in r.zipf(1.3, 400) % 3000] for i in range(300)}
+    texts[300] = texts[7]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    good = set(range(0, 300, 3))
+    got = {x.doc_id: x for x in lm.score(docs, spark.createDataFrame([(i,) for i in good], "good_id long")).collect()}
+    seen = collections.Counter(w for i in good for w in texts[i])
+    known = {w for w, n in seen.items() if n >= lm.LEAST}
+    want = {i: [0.0, 0.0] for i in texts}
+    for at, ids in enumerate((good, texts)):
+        one, two = collections.Counter(), collections.Counter()
+        line = {i: ["^"] + [w if w in known else None for w in texts[i]] for i in texts}
+        for i in ids:
+            one.update(line[i])
+            two.update(zip(line[i], line[i][1:]))
+        total = sum(one.values()) - one["^"]
+        for i in texts:
+            for left, w in zip(line[i], line[i][1:]):
+                p = (one[w] + 1 / (len(known) + 1)) / (total + 1)
+                want[i][at] -= math.log((two[left, w] + lm.MU * p) / (one[left] + lm.MU)) / len(texts[i])
+    assert len(got) == len(texts) and got[300].score == got[7].score
+    for i, (target, background) in want.items():
+        assert got[i].target_loss == pytest.approx(target, abs=1e-8) and got[i].background_loss == pytest.approx(background, abs=1e-8)
+
+
 def _pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, score double, host string")
 
