@@ -63,10 +63,11 @@ class Encoder:
     """Ids of whole texts, as bytes, by the tokenizers library.
 
     A byte-level pre-tokenizer always cuts before a space that stands between
-    other characters, so pieces from one such space to the next can be encoded
-    alone; each distinct piece is encoded once and remembered in a table under
-    a 64-bit hash of its bytes and length.  Texts with runs of spaces, a space
-    at the end or an added token's content are encoded whole.
+    characters other than white space, so pieces from one such space to the next
+    can be encoded alone; each distinct piece is encoded once and remembered in a
+    table under a 64-bit hash of its bytes and length.  Texts where a space touches
+    other white space (of ASCII or not), with a space at the end or an added token's
+    content are encoded whole.
     """
 
     def __init__(self, spec: str):
@@ -129,15 +130,21 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        whole, cut = [], []
+        whole, cut, words = [], [], None
         for i, t in enumerate(texts):
             plain = self.by_piece and b"  " not in t and not t.endswith(b" ") and not any(a in t for a in self.added)
             (cut if plain else whole).append(i)
+        if cut:
+            words = Words([texts[i] for i in cut], _ONE_SPACE)
+            touching = _touching(words)
+            if touching.any():
+                whole += [i for i, bad in zip(cut, touching) if bad]
+                cut = [i for i, bad in zip(cut, touching) if not bad]
+                words = Words([texts[i] for i in cut], _ONE_SPACE)
         for i, ids in zip(whole, self._fresh([texts[i].decode() for i in whole])):
             out[i] = ids.tobytes()
         if not cut:
             return out
-        words = Words([texts[i] for i in cut], _ONE_SPACE)
         begins = np.cumsum([0] + [len(texts[i]) + 1 for i in cut[:-1]])
         keys = words.hashes() | np.uint64(1)
         full = np.flatnonzero(words.counts)
@@ -172,6 +179,24 @@ class Encoder:
 
 
 _ONE_SPACE = np.arange(256) == 0x20
+#: White space characters (Unicode's, as the pre-tokenizer's regex has them) but the space: their bytes as one number, first and last bytes.
+_WHITE = [chr(c).encode() for c in (*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_CODES = np.array([int.from_bytes(w, "big") for w in _WHITE])
+_FIRST, _LAST = (np.isin(np.arange(256), [w[i] for w in _WHITE]) for i in (0, -1))
+
+
+def _touching(words: Words) -> np.ndarray:
+    """For each text, whether a piece between spaces begins or ends with other white space."""
+    out = np.zeros(words.n, bool)
+    buf, last = words.buf, len(words.buf) - 1
+    for maybe, side in ((np.flatnonzero(_FIRST[buf[words.start]]), words.start), (np.flatnonzero(_LAST[buf[words.end - 1]]), words.end)):
+        for size in (1, 2, 3) if len(maybe) else ():
+            at = side[maybe] - (size if side is words.end else 0)
+            code = sum(buf[np.clip(at + j, 0, last)].astype(np.int64) << (8 * (size - 1 - j)) for j in range(size))
+            out[np.searchsorted(words.doc, maybe[np.isin(code, _CODES)], side="right") - 1] = True
+    return out
+
+
 _encoders: dict[str, Encoder] = {}
 
 

@@ -70,6 +70,16 @@ def test_pieces_encode_as_whole_texts():
     assert enc.encode([t.encode() for t in reversed(ODD)]) == want[::-1]
 
 
+def test_spaces_within_white_space_encode_as_whole_texts():
+    """Alternating spaces and other white space, also where such pieces are learned beside others."""
+    enc = tokenstore.Encoder(open(tokenstore.default_tokenizer(), encoding="utf-8").read())
+    texts = [f"a {w} {w} b x" for w in ("\u00a0", "\n", "\t", "\u3000", "\u2003", "\u0085")]
+    texts += ["a \u00a0 \u00a0", "a \n\u00a0 b", "\u00a0 a", "c \u00a0 \u00a0d e", "plain à la ‰ text", "x\u00a0y z", "日 全 ”a “b"]
+    want = [np.array(enc.tok.encode(t, add_special_tokens=False).ids, enc.dtype).tobytes() for t in texts]
+    assert enc.encode([t.encode() for t in texts]) == want
+    assert [enc.encode([t.encode()])[0] for t in texts] == want
+
+
 def test_cuts_depend_on_content():
     r = np.random.default_rng(1)
     ids = r.integers(0, 50_000, 20_000).astype("<u2")
