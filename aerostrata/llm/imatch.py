@@ -3,9 +3,9 @@
 A document's terms are its distinct words within a band of inverse document
 frequency (in at least ``LEAST_DOCS`` documents and at most ``MOST_SHARE`` of
 them; all its words, where fewer than ``LEAST_TERMS`` are in the band).  Document
-frequencies are counted over all documents in a table of ``2 ** BITS`` hashed
-cells; workers' sparse tables are summed cell range by cell range, in streams,
-and come back as one bit for each cell.
+frequencies are counted exactly, for every distinct word of all documents, by a
+grouped aggregation over 54-bit hashes of words; the band's words, a sorted array
+that grows with the corpus (8 bytes a word), are broadcast.
 
 Plain I-Match hashes the sorted terms once, so one changed term changes all.
 Here the lexicon is split at random into parts, coarse and fine (``LEVELS``); a
@@ -37,9 +37,8 @@ from pyspark.sql import functions as F
 
 from .common import PUNCTUATION, Words, blocks, ensure_path, mix64
 
-BITS = 24
-#: Cell ranges that are summed apart.
-RANGES = 256
+#: A worker sums 2 ** BITS entries (a word in a document each) before it sends them on.
+BITS = 21
 LEAST_DOCS, MOST_SHARE, LEAST_TERMS = 2, 0.05, 8
 #: (parts of the lexicon, parts kept, repetitions) of each level.
 LEVELS = ((4, 4, 5), (16, 16, 1), (64, 16, 1), (256, 16, 1), (1024, 16, 1))
@@ -55,47 +54,38 @@ def distinct_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return key & np.uint64((1 << 54) - 1), (key >> np.uint64(54)).astype(np.int64)
 
 
-def cells(word: np.ndarray) -> np.ndarray:
-    return (mix64(word) >> np.uint64(64 - BITS)).astype(np.int64)
+def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and the numbers of documents that hold them, summed over about 2 ** BITS entries."""
 
+    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
+        word, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int32))], ["word", "n"])
 
-def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.zeros(1 << BITS, np.uint32)
+    held, size = [], 0
     for batch in batches:
         for part in blocks(batch):
-            np.add.at(table, cells(distinct_words(part.column("text").cast(pa.binary()).to_pylist())[0]), np.uint32(1))
-    size = (1 << BITS) // RANGES
-    codec = pa.Codec("zstd", compression_level=1)
-    for r in range(RANGES):
-        part = table[r * size : (r + 1) * size]
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([codec.compress(part.tobytes(), asbytes=True)], pa.binary())], ["cells", "counts"])
-
-
-def _sum_task(least: float, most: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, total = (1 << BITS) // RANGES, {}
-        codec = pa.Codec("zstd")
-        for batch in batches:
-            for r, counts in zip(batch.column("cells").to_pylist(), batch.column("counts").to_pylist()):
-                got = np.frombuffer(codec.decompress(counts, 4 * size, asbytes=True), np.uint32)
-                total[r] = total.get(r, 0) + got.astype(np.uint64)
-        for r, n in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([np.packbits((n >= least) & (n <= most)).tobytes()], pa.binary())], ["cells", "counts"])
-
-    return run
+            held.append(distinct_words(part.column("text").cast(pa.binary()).to_pylist())[0])
+            size += len(held[-1])
+            if size >= 1 << BITS:
+                yield summed(held)
+                held, size = [], 0
+    if size:
+        yield summed(held)
 
 
 def lexicon(docs: DataFrame) -> np.ndarray:
-    """For each cell, whether its document frequency over all of docs is in the band (one bit a cell: a fixed size)."""
+    """Sorted hashes of the words whose document frequency over all of docs is in the band."""
     ensure_path(docs.sparkSession)
-    schema = "cells int, counts binary"
-    n = docs.count()
-    sums = docs.select("text").mapInArrow(_count_task, schema).repartition(RANGES, "cells").mapInArrow(_sum_task(LEAST_DOCS, max(LEAST_DOCS, MOST_SHARE * n)), schema)
-    bits = np.zeros((RANGES, (1 << BITS) // RANGES // 8), np.uint8)
-    for row in sums.collect():
-        bits[row.cells] = np.frombuffer(row.counts, np.uint8)
-    return bits.reshape(-1)
+    most = max(LEAST_DOCS, MOST_SHARE * docs.count())
+    counts = docs.select("text").mapInArrow(_count_task, "word long, n int").groupBy("word").agg(F.sum("n").alias("n"))
+    return np.sort(counts.where((F.col("n") >= LEAST_DOCS) & (F.col("n") <= most)).select("word").toArrow().column("word").to_numpy().view(np.uint64))
+
+
+def in_lexicon(word: np.ndarray, band: np.ndarray) -> np.ndarray:
+    if not len(band):
+        return np.zeros(len(word), bool)
+    distinct, back = np.unique(word, return_inverse=True)
+    return (band[np.minimum(np.searchsorted(band, distinct), len(band) - 1)] == distinct)[back]
 
 
 class Prints:
@@ -113,11 +103,11 @@ class Prints:
         return [f"{n:08x}{w:016x}{raw[i * width : (i + 1) * width]}" for i, (n, w) in enumerate(zip(self.n.tolist(), self.whole.tolist()))]
 
 
-def fingerprints(texts: list[bytes | None], bits: np.ndarray) -> Prints:
+def fingerprints(texts: list[bytes | None], band: np.ndarray) -> Prints:
+    """Fingerprints, given the sorted hashes of the words in the band."""
     word, owner = distinct_words(texts)
     n_texts = len(texts)
-    cell = cells(word)
-    inside = (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0
+    inside = in_lexicon(word, band)
     few = np.bincount(owner[inside], minlength=n_texts) < LEAST_TERMS
     inside |= few[owner]
     word, owner = word[inside], owner[inside]
@@ -197,13 +187,13 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     return rows.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket", "lead", "key", "text")
 
 
-def _print_task(bits: np.ndarray):
+def _print_task(band):
     def finish(rows: list[tuple]) -> pa.RecordBatch:
         ids, texts, nexts = zip(*rows)
         raw = [t.encode() for t in texts]
         halves = [len(t) // 2 for t in texts]
         edited = [(t[: len(t) - h] + n[:h]).encode() for t, n, h in zip(texts, nexts, halves)]
-        own, after, changed = (fingerprints(x, bits) for x in (raw, [n.encode() for n in nexts], edited))
+        own, after, changed = (fingerprints(x, band.value) for x in (raw, [n.encode() for n in nexts], edited))
         cols = [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array(own.texts()), pa.array(changed.texts()), pa.array(likeness(own, changed)), pa.array(likeness(own, after))]
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
@@ -232,5 +222,5 @@ _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Each row's fingerprint, its edited text's, and how near the edited and the next text are."""
     spark: SparkSession = docs.sparkSession
-    bits = lexicon(docs)
-    return with_next(docs, int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(_print_task(bits), _OUT)
+    band = spark.sparkContext.broadcast(lexicon(docs))
+    return with_next(docs, int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(_print_task(band), _OUT)

@@ -190,6 +190,17 @@ def test_fingerprints(spark, odd, odd_rows, none):
     assert np.allclose([imatch.likeness(x, y)[0] for x, y in zip(a, b)], [r.near_edited for r in got])
 
 
+def test_lexicon_is_exact(spark):
+    """Words of one document stay out of fingerprints and words of two stay in, however many words there are."""
+    n, own = 300, 1000
+    shared = [[f"s{i // 2}x{j}" for j in range(20)] for i in range(n)]
+    docs = spark.createDataFrame([(i, " ".join(w + [f"u{i}x{j}" for j in range(own)])) for i, w in enumerate(shared)], "doc_id long, text string")
+    got = imatch.fingerprint_documents(docs).collect()
+    assert [imatch.parse([r.fingerprint]).n[0] for r in got] == [20] * n
+    prints = {r.doc_id: r.fingerprint for r in got}
+    assert all(prints[i] == prints[i + 1] for i in range(0, n, 2)) and len(set(prints.values())) == n // 2
+
+
 def test_likeness_follows_jaccard():
     bits = np.full(1 << (imatch.BITS - 3), 255, np.uint8)
     for n, shared in ((40, 30), (400, 200), (2000, 1000), (2000, 1900)):
