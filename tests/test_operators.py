@@ -246,3 +246,14 @@ def test_partitioning_does_not_matter(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     a, b = (sorted(map(str, windows.lags(x, ["value"], 2, "user_id", ["ts", "event_id"]).collect())) for x in (e, e.repartition(13)))
     assert a == b
+
+
+def test_permutation_importance_takes_all_lines(spark, monkeypatch):
+    from aerostrata.operators import ml
+    from aerostrata.plans import QUERIES
+
+    taken = []
+    monkeypatch.setattr(ml, "permutation_importance", lambda df, *rest: taken.append(df))
+    QUERIES["permutation_importance"](spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert taken[0].count() == lines.count()
