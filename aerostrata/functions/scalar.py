@@ -106,7 +106,7 @@ def area_km2(lat: Column, lon: Column) -> Column:
 
 
 def search_radius(density: Column, cap: int) -> Column:
-    """Metres to search around a place: less, the denser it is."""
+    """Metres to search around a place: less, the denser it is (fixed values)."""
     return F.least(F.when(density > 4000, 2000).when(density > 1000, 3500).when(density > 300, 5500).otherwise(9000), F.lit(cap))
 
 
@@ -129,11 +129,12 @@ def window_prefix(first: Column, last: Column) -> Column:
 
 
 def verdict(score: Column, low_variance: Column) -> Column:
+    """Names and limits are fixed values."""
     return F.when(low_variance, "USELESS (near-zero variance)").when(score >= 0.40, "IMPORTANT").when(score >= 0.15, "MARGINAL").otherwise("USELESS")
 
 
 def consensus(correlation: Column, forest: Column, permutation: Column, variance: Column, low_variance: Column) -> Column:
-    """Weighted sum of four normalised importances, a tenth of it where variance is low."""
+    """Weighted sum of four normalised importances (fixed weights), a tenth of it where variance is low."""
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     total = zero(correlation) * 0.25 + zero(forest) * 0.30 + zero(permutation) * 0.35 + zero(variance) * 0.10
     return F.when(low_variance, total * 0.1).otherwise(total)

@@ -52,9 +52,10 @@ def align(df: DataFrame, to: DataFrame) -> DataFrame:
 
 def split_at_quantile(df: DataFrame, column: str, q: float) -> tuple[DataFrame, DataFrame]:
     """Rows above the exact quantile, and the others (nulls are others)."""
-    marked = df.crossJoin(F.broadcast(df.agg(F.percentile(column, F.lit(q)).alias("_q"))))  # one row
-    over = F.coalesce(F.col(column) > F.col("_q"), F.lit(False))
-    return marked.where(over).drop("_q"), marked.where(~over).drop("_q")
+    from .stats import quantiles
+
+    over = F.coalesce(F.col(column) > F.lit(quantiles(df, [column], [q])[column][0]).cast("double"), F.lit(False))
+    return df.where(over), df.where(~over)
 
 
 def numbered_batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
@@ -62,5 +63,27 @@ def numbered_batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
     return df.withColumn("batch", ((F.row_number().over(Window.orderBy(*order)) - 1) / size).cast("int"))
 
 
+def recoded(df: DataFrame, column: str, names: dict[str, str], to: str) -> DataFrame:
+    """Rows of the named categories alone, their names changed."""
+    renamed = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col(column)]
+    return df.where(F.col(column).isin(list(names))).withColumn(to, renamed).drop(column)
+
+
+def _draw(key: str, seed: int) -> Column:
+    """A number under 2 ** 52 from the seed and a row's key."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+
+
+def sampled(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """n rows (all, where there are fewer) that the seed decides, whatever the partitioning: a bounded top in each task."""
+    return df.withColumn("_draw", _draw(key, seed)).orderBy("_draw", key).limit(n).drop("_draw")
+
+
+def random_split(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
+    """is_train: false for about that share of rows, decided by the seed and each row's key."""
+    return df.withColumn("is_train", _draw(key, seed) >= int(share * (1 << 52) + 0.5))
+
+
 def fill(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return df.withColumns({c: F.coalesce(c, v) for c, v in values.items()})

@@ -35,9 +35,10 @@ def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve from average ranks (ties count half)."""
-    from .stats import average_rank
+    from .stats import average_ranks
 
-    one = average_rank(df.select(label, score).na.drop(), score, "_r").agg(F.sum(F.when(F.col(label) == 1, F.col("_r"))).alias("s"), F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q"))
+    counts = df.select(F.col(label).alias("y"), F.col(score).cast("double").alias("x")).na.drop().groupBy("x").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"), F.count(F.lit(1)).alias("n"))
+    one = average_ranks(counts, ["x"], "n").agg(F.sum(F.col("p") * F.col("r_x")).alias("s"), F.sum("p").alias("p"), F.sum("q").alias("q"))
     return one.select(F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q")).alias("auc"))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -44,6 +46,15 @@ def boosted(df: DataFrame, features: list[str], label: str, rounds: int = 200, r
     return GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=share, seed=seed).fit(assembled(df, features))
 
 
+def forest_classifier(df: DataFrame, features: list[str], label: str, trees: int = 200, depth: int = 12, seed: int = 42):
+    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(assembled(df, features))
+
+
+def impurity_importances(model, features: list[str]) -> list[tuple[str, float]]:
+    """How much of a forest's fall in impurity each feature brings, the greatest first."""
+    return sorted(zip(features, map(float, model.featureImportances.toArray())), key=lambda x: -x[1])
+
+
 def clusters(df: DataFrame, features: list[str], k: int = 3, seed: int = 42) -> DataFrame:
     wide = assembled(df, features)
     return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(wide).transform(wide).drop("features")
@@ -127,8 +138,93 @@ def permutation_importance(df: DataFrame, predict, features: list[str], label: s
     return df.sparkSession.createDataFrame(out, "feature string, mean double, std double")
 
 
+def fitted(df: DataFrame, net, arrays, rounds: int = 5, batch: int = 256, rate: float = 1e-2, clip: float | None = 1.0):
+    """A numpy network fitted on all rows of df, wherever they are; arrays(batch) gives what net.gradients takes.
+
+    In each round every task goes on from the same parameters over its own rows, a
+    batch at a time; then the tasks' parameters are averaged, weighed by rows.  What
+    is shuffled and collected is a row for each parameter.  Where there are no rows
+    the network stays as it is.
+    """
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = copy.deepcopy(net)
+        step, n = _Adam(mine.p, rate), 0
+        for some in batches:
+            given = arrays(some)
+            for i in range(0, len(some), batch):
+                step(mine.gradients(*[x[i : i + batch] for x in given]), clip)
+            n += len(some)
+        if n:
+            flat = np.concatenate([mine.p[k].ravel() for k in sorted(mine.p)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * n), pa.array(np.full(len(flat), n))], ["i", "v", "n"])
+
+    for _ in range(rounds):
+        sums = df.mapInArrow(learn, "i long, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()
+        flat = np.array([r.v for r in sorted(sums)])
+        at = 0
+        for k in sorted(net.p) if len(flat) else ():
+            size = net.p[k].size
+            net.p[k] = flat[at : at + size].reshape(net.p[k].shape)
+            at += size
+    return net
+
+
+def matrix(*columns: str):
+    """For fitted(): a batch's columns as one array."""
+    return lambda batch: (np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in columns], 1),)
+
+
+class DenseClassifier:
+    """Dense layers of leaky units and a logistic output, for a binary label (numpy)."""
+
+    def __init__(self, width: int, hidden: tuple[int, ...] = (64, 32), seed: int = 42):
+        r, sizes = np.random.default_rng(seed), [width, *hidden, 1]
+        self.depth = len(sizes) - 1
+        self.p = {f"w{i}": r.standard_normal((a, b)) / np.sqrt(a) for i, (a, b) in enumerate(zip(sizes, sizes[1:]))} | {f"b{i}": np.zeros(b) for i, b in enumerate(sizes[1:])}
+
+    def _run(self, x: np.ndarray) -> list[np.ndarray]:
+        out = [x]
+        for i in range(self.depth):
+            z = out[-1] @ self.p[f"w{i}"] + self.p[f"b{i}"]
+            out.append(np.where(z > 0, z, 0.01 * z) if i < self.depth - 1 else 1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return out
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        return self._run(x)[-1][:, 0]
+
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> dict:
+        """Of the mean cross entropy."""
+        held, g = self._run(x), {}
+        d = (held[-1] - y[:, None]) / len(y)
+        for i in reversed(range(self.depth)):
+            g[f"w{i}"], g[f"b{i}"] = held[i].T @ d, d.sum(0)
+            d = d @ self.p[f"w{i}"].T * np.where(held[i] > 0, 1, 0.01)
+        return g
+
+
+def dense_classifier(df: DataFrame, features: list[str], label: str, hidden: tuple[int, ...] = (64, 32), rounds: int = 10, rate: float = 1e-2) -> DenseClassifier:
+    whole = matrix(*features, label)
+
+    def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        both = whole(batch)[0]
+        return both[:, :-1], both[:, -1]
+
+    return fitted(df.select(*features, label).na.drop(), DenseClassifier(len(features), hidden), arrays, rounds, 64, rate)
+
+
+def predict_classes(df: DataFrame, net: DenseClassifier, features: list[str]) -> DataFrame:
+    """prediction (0 or 1) of each row, batch by batch."""
+
+    @F.pandas_udf("int")
+    def run(*columns: pd.Series) -> pd.Series:
+        return pd.Series((net.probability(np.stack([c.to_numpy(np.float64) for c in columns], 1)) >= 0.5).astype(np.int32))
+
+    return df.withColumn("prediction", run(*features))
+
+
 class Autoencoder:
-    """One hidden layer of leaky units, trained by Adam on squared error (numpy, bounded samples)."""
+    """One hidden layer of leaky units, trained by Adam on squared error (numpy)."""
 
     def __init__(self, width: int, latent: int = 8, seed: int = 42):
         r = np.random.default_rng(seed)
@@ -141,17 +237,20 @@ class Autoencoder:
     def decode(self, h: np.ndarray) -> np.ndarray:
         return h @ self.p["w2"] + self.p["b2"]
 
+    def gradients(self, b: np.ndarray) -> dict:
+        z = b @ self.p["w1"] + self.p["b1"]
+        h = np.where(z > 0, z, 0.01 * z)
+        d = 2 * (self.decode(h) - b) / b.size
+        back = d @ self.p["w2"].T * np.where(z > 0, 1, 0.01)
+        return {"w2": h.T @ d, "b2": d.sum(0), "w1": b.T @ back, "b1": back.sum(0)}
+
     def fit(self, x: np.ndarray, epochs: int = 50, batch: int = 256, rate: float = 1e-3, seed: int = 0) -> Autoencoder:
+        """On rows that fit in memory; fitted() takes those of a DataFrame."""
         r, step = np.random.default_rng(seed), _Adam(self.p, rate)
         for _ in range(epochs):
             order = r.permutation(len(x))
             for i in range(0, len(x), batch):
-                b = x[order[i : i + batch]]
-                z = b @ self.p["w1"] + self.p["b1"]
-                h = np.where(z > 0, z, 0.01 * z)
-                d = 2 * (self.decode(h) - b) / b.size
-                back = d @ self.p["w2"].T * np.where(z > 0, 1, 0.01)
-                step({"w2": h.T @ d, "b2": d.sum(0), "w1": b.T @ back, "b1": back.sum(0)})
+                step(self.gradients(x[order[i : i + batch]]))
         return self
 
 
@@ -172,7 +271,7 @@ class _Adam:
 
 
 class Lstm:
-    """One LSTM layer and a linear output, early stopping, gradients clipped to norm 1 (numpy, bounded samples)."""
+    """One LSTM layer and a linear output, gradients clipped to norm 1 (numpy); fit() stops early, on rows that fit in memory."""
 
     def __init__(self, width: int, hidden: int = 96, seed: int = 42):
         r, s = np.random.default_rng(seed), 1 / np.sqrt(hidden)
@@ -195,7 +294,7 @@ class Lstm:
     def predict(self, x: np.ndarray) -> np.ndarray:
         return self._run(x)[0] @ self.p["v"] + self.p["c"][0]
 
-    def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict:
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> dict:
         h, kept = self._run(x)
         d = 2 * (h @ self.p["v"] + self.p["c"][0] - y) / len(y)
         g = {"v": h.T @ d, "c": np.array([d.sum()]), "w": np.zeros_like(self.p["w"]), "b": np.zeros_like(self.p["b"])}
@@ -215,7 +314,7 @@ class Lstm:
             order = r.permutation(len(x))
             for i in range(0, len(x), batch):
                 some = order[i : i + batch]
-                step(self._gradients(x[some], y[some]), clip=1.0)
+                step(self.gradients(x[some], y[some]), clip=1.0)
             loss = float(((self.predict(x_val) - y_val) ** 2).mean())
             if loss < best - 1e-9:
                 best, bad, held = loss, 0, {k: v.copy() for k, v in self.p.items()}

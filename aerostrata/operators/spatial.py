@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import nearest_on_lines, points_within
+from .stats import quantiles
 
 
 def ring_area(ring: Column) -> Column:
@@ -49,7 +50,8 @@ def facility_pairs(places: DataFrame, facilities: DataFrame, radius: float) -> D
     """Pairs within radius with unit direction, decay and severity (0.7 of the amount over its 95th percentile among pairs, 0.3 of chemicals over their most)."""
     pairs = points_within(places, facilities, radius).withColumn("decay", F.exp(-F.col("dist") / radius))
     pairs = pairs.withColumn("dir_x", F.col("dx") / F.col("dist")).withColumn("dir_y", F.col("dy") / F.col("dist"))
-    scale = pairs.agg(F.percentile("amount", F.lit(0.95)).alias("_q"), F.max("amount").alias("_a"), F.max("n_chemicals").alias("_c"))  # one row
+    top = quantiles(pairs, ["amount"], [0.95])["amount"][0]
+    scale = pairs.agg(F.lit(top).cast("double").alias("_q"), F.max("amount").alias("_a"), F.max("n_chemicals").alias("_c"))  # one row
     q = F.when((F.col("_q") > 0) & ~F.isnan("_q"), F.col("_q")).otherwise(F.greatest(F.col("_a"), F.lit(1.0)))
     clip = lambda c: F.least(F.lit(1.0), F.greatest(F.lit(0.0), c))
     severity = clip(F.col("amount") / q) * 0.7 + clip(F.col("n_chemicals") / F.greatest(F.col("_c"), F.lit(1.0))) * 0.3

@@ -9,16 +9,81 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles (exact, linear), max: a row for each column (and group)."""
-    out = None
-    for c in columns:
-        one = df.groupBy(*(by or [])).agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.percentile(c, F.lit(0.25)).alias("q25"), F.percentile(c, F.lit(0.5)).alias("q50"), F.percentile(c, F.lit(0.75)).alias("q75"), F.max(c).cast("double").alias("max"))
-        one = one.select(F.lit(c).alias("column"), "*")
-        out = one if out is None else out.unionByName(one)
+#: Relative error of the sketches that narrow a quantile down, and values that one task then puts in order.
+ACCURACY, BAND = 5000, 1 << 22
+
+
+def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles (linear between neighbours) of whole columns; None without values.
+
+    Sketches give for each wanted rank an interval of values that holds it; one
+    pass counts what lies below each interval, and only the values inside are
+    shuffled, counted and put in order.  An interval of more than ``BAND`` values
+    is narrowed by sketches of its own first.  So no task sees a whole column.
+    """
+    df = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    eps = 2.0 / ACCURACY
+    ends = sorted({min(1.0, max(0.0, q + e)) for q in shares for e in (-eps, eps)})
+    sketch = [F.struct(F.count(f"v{i}").alias("n"), F.min(f"v{i}").alias("low"), F.max(f"v{i}").alias("high"), F.percentile_approx(f"v{i}", ends, ACCURACY).alias("at")).alias(f"v{i}") for i in range(len(columns))]
+    seen = df.agg(*sketch).first()
+    out: dict[str, list[float | None]] = {c: [None] * len(shares) for c in columns}
+    spans: dict[tuple[int, int], list] = {}  # of column and share: lowest and highest value, first wanted rank
+    for i in range(len(columns)):
+        for j, q in enumerate(shares):
+            if seen[i].n:
+                a, b = (seen[i].at[ends.index(min(1.0, max(0.0, q + e)))] for e in (-eps, eps))
+                spans[i, j] = [seen[i].low if q <= eps else a, seen[i].high if q >= 1 - eps else b, int(q * (seen[i].n - 1) + 1e-9), seen[i]]
+    below: dict[tuple[int, int], tuple[int, int]] = {}
+    todo = dict(spans)
+    while todo:
+        keys = list(todo)
+        counted = df.agg(*[F.struct(F.count_if(F.col(f"v{i}") < todo[i, j][0]).alias("below"), F.count_if(F.col(f"v{i}").between(*todo[i, j][:2])).alias("inside")).alias(f"s{k}") for k, (i, j) in enumerate(keys)]).first()
+        for k, (i, j) in enumerate(keys):
+            low, high, rank, whole = todo[i, j]
+            n_below, inside = counted[k].below, counted[k].inside
+            if n_below > rank or n_below + inside <= min(rank + 1, whole.n - 1):
+                spans[i, j][:2] = todo[i, j][:2] = [whole.low, whole.high]  # a sketch missed: all values, to be narrowed again
+            elif inside > BAND and low < high:
+                mid = [min(1.0, max(0.0, (rank + x - n_below) / inside)) for x in (-eps * inside, 1 + eps * inside)]
+                a, b = df.where(F.col(f"v{i}").between(low, high)).agg(F.percentile_approx(f"v{i}", mid, ACCURACY)).first()[0]
+                if (a, b) == (low, high):
+                    below[i, j] = (n_below, inside)
+                    del todo[i, j]
+                else:
+                    spans[i, j][:2] = todo[i, j][:2] = [a, b]
+            else:
+                below[i, j] = (n_below, inside)
+                del todo[i, j]
+    held = [F.when(F.col(f"v{i}").between(*spans[i, j][:2]), F.struct(F.lit(k).alias("span"), F.col(f"v{i}").alias("v"))) for k, (i, j) in enumerate(spans)]
+    if held:
+        counts = df.select(F.explode(F.array_compact(F.array(*held))).alias("x")).groupBy("x.span", "x.v").agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("span").orderBy("v"))
+        ranks = F.create_map(*[F.lit(x) for k, key in enumerate(spans) for x in (k, spans[key][2] - below[key][0])])[F.col("span")]
+        last = F.create_map(*[F.lit(x) for k, key in enumerate(spans) for x in (k, min(spans[key][2] + 1, spans[key][3].n - 1) - below[key][0])])[F.col("span")]
+        counts = counts.withColumn("upto", upto).withColumn("first", ranks).withColumn("last", last)
+        # two values of each interval at most
+        picked = counts.where((F.col("upto") > F.col("first")) & (F.col("upto") - F.col("n") <= F.col("last"))).groupBy("span").agg(F.min("v").alias("a"), F.max("v").alias("b")).collect()
+        found = {r.span: (r.a, r.b) for r in picked}
+        for k, (i, j) in enumerate(spans):
+            at = shares[j] * (spans[i, j][3].n - 1)
+            a, b = found[k]
+            part = max(0.0, at - spans[i, j][2])
+            out[columns[i]][j] = a if part < 1e-9 else a + (b - a) * part
     return out
 
 
+def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """count, mean, std, min, quartiles (exact, linear), max: a row for each column (and group); whole columns share one pass beside their quartiles."""
+    figures = lambda c: {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "max": F.max(c).cast("double")}
+    if not by:
+        q = quantiles(df, columns, [0.25, 0.5, 0.75])
+        one = df.agg(*[F.struct(*[f.alias(k) for k, f in figures(c).items()], *[F.lit(x).cast("double").alias(k) for k, x in zip(("q25", "q50", "q75"), q[c])]).alias(c) for c in columns])
+        return melt(one, columns).select("column", *[F.col(f"value.{k}").alias(k) for k in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")])
+    # a group's values meet in one task: groups are places or kinds
+    long = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.column", *by, "x.v")
+    return long.groupBy("column", *by).agg(*[f.alias(k) for k, f in figures("v").items()], *[F.percentile("v", F.lit(q)).alias(k) for k, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))])
+
+
 def skewness_corrected(c: str | Column) -> Column:
     n = F.count(c)
     return F.when(n > 2, F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
@@ -31,11 +96,10 @@ def kurtosis_corrected(c: str | Column) -> Column:
 
 def iqr_outliers(df: DataFrame, columns: list[str], k: float) -> DataFrame:
     """How many values of each column lie strictly outside its quartiles by k interquartile ranges."""
-    bounds = df.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).alias(c) for c in columns])  # one row
-    marked = df.select(*columns).crossJoin(F.broadcast(bounds.select(*[F.col(c).alias(f"_{c}") for c in columns])))
-    low = lambda c: F.col(f"_{c}")[0] - k * (F.col(f"_{c}")[1] - F.col(f"_{c}")[0])
-    high = lambda c: F.col(f"_{c}")[1] + k * (F.col(f"_{c}")[1] - F.col(f"_{c}")[0])
-    counted = marked.agg(*[F.struct(F.count_if((F.col(c) < low(c)) | (F.col(c) > high(c))).alias("outliers"), F.count(c).alias("n")).alias(c) for c in columns])
+    q = quantiles(df, columns, [0.25, 0.75])
+    low = lambda c: F.lit(None if q[c][0] is None else q[c][0] - k * (q[c][1] - q[c][0])).cast("double")
+    high = lambda c: F.lit(None if q[c][0] is None else q[c][1] + k * (q[c][1] - q[c][0])).cast("double")
+    counted = df.agg(*[F.struct(F.count_if((F.col(c) < low(c)) | (F.col(c) > high(c))).alias("outliers"), F.count(c).alias("n")).alias(c) for c in columns])
     return melt(counted, columns).select("column", "value.outliers", F.try_divide(F.col("value.outliers") * F.lit(100.0), F.col("value.n")).alias("percent"))
 
 
@@ -78,29 +142,76 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("r")) for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
 
 
-def average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Ranks with ties averaged, computed from value counts: only distinct values are put in order.
+def own_past(df: DataFrame, columns: list[str], n: int, key: str, order: list[str]) -> DataFrame:
+    """Correlation of each column with its own values 1 to n rows earlier in the series: series, k, r."""
+    before = Window.partitionBy(key).orderBy(*order).rowsBetween(-n, -1)
+    seen = df.withColumn("_past", F.reverse(F.collect_list(F.struct(*columns)).over(before)))
+    each = seen.select(*columns, F.posexplode("_past").alias("_k", "_then"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("x"), F.col(f"_then.{c}").cast("double").alias("y")) for c in columns])
+    rows = each.select((F.col("_k") + 1).alias("k"), F.explode(pairs).alias("p")).select("k", "p.*")
+    return rows.groupBy("series", "k").agg(pearson("x", "y").alias("r"))
+
+
+def _place(c: Column, splits: list[float], low: int = 0, high: int | None = None) -> Column:
+    """How many of the sorted splits are under c, as a tree of comparisons."""
+    high = len(splits) if high is None else high
+    if low == high:
+        return F.lit(low)
+    mid = (low + high) // 2
+    return F.when(c <= splits[mid], _place(c, splits, low, mid)).otherwise(_place(c, splits, mid + 1, high))
 
-    Values are dealt to ranges first, so no task orders them all.
+
+def average_ranks(df: DataFrame, columns: list[str], count: str) -> DataFrame:
+    """df, of no nulls and with a count of each row, with r_<column>: average ranks among all that is counted, ties sharing theirs.
+
+    Values are dealt to ranges of about equal size, as many as twice the shuffle's
+    partitions; each is ordered by itself, after the number of values below it.  A
+    value that fills a range has its rank from the counts alone and is spread over
+    tasks, so it is not ordered with anything.
     """
-    counts = df.groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    splits = [r for r in counts.agg(F.percentile_approx("_v", [i / 64 for i in range(1, 64)], 1000)).first()[0] or []]
-    bucket = F.size(F.filter(F.array(*[F.lit(float(x)) for x in sorted(set(splits))]), lambda x: x < F.col("_v"))) if splits else F.lit(0)
-    counts = counts.withColumn("_b", bucket)
-    before = counts.groupBy("_b").agg(F.sum("_n").alias("_s"))
-    before = before.select("_b", (F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).alias("_base"))  # at most 64 rows
-    inside = Window.partitionBy("_b").orderBy("_v")
-    ranks = counts.join(F.broadcast(before), "_b").select("_v", (F.col("_base") + F.sum("_n").over(inside) - (F.col("_n") - 1) / 2).alias(name))
-    return df.join(ranks, F.col(column) == F.col("_v")).drop("_v")
+    n_ranges = max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = df.agg(*[F.percentile_approx(c, [i / n_ranges for i in range(1, n_ranges)], 4 * n_ranges).alias(c) for c in columns]).first()
+    ranges = {}
+    for c in columns:
+        splits = [float(x) for x in cuts[c] or []]
+        popular = sorted({x for x, y in zip(splits, splits[1:]) if x == y})
+        place = _place(F.col(c).cast("double"), sorted(set(splits)))
+        ranges[c] = (place * 2 + F.col(c).isin(popular).cast("int") if popular else place * 2).cast("int")
+    kinds = [F.struct(F.lit(i).alias("i"), ranges[c].alias("range")) for i, c in enumerate(columns)]
+    sizes: list[dict[int, int]] = [{} for _ in columns]
+    for r in df.select(F.explode(F.array(*kinds)).alias("x"), count).groupBy("x.i", "x.range").agg(F.sum(count).alias("n")).collect():  # a row for each range
+        sizes[r.i][r.range] = r.n
+    for i, c in enumerate(columns):
+        at, before, single = 0, [], []
+        for k in sorted(sizes[i]):
+            before += [F.lit(k), F.lit(float(at))]
+            single += [F.lit(k), F.lit(at + (sizes[i][k] + 1) / 2)]
+            at += sizes[i][k]
+        if not before:
+            df = df.withColumn(f"r_{c}", F.lit(None).cast("double"))
+            continue
+        df = df.withColumn("_range", ranges[c])
+        alone = F.col("_range") % 2 == 1
+        df = df.withColumn("_spread", F.when(alone, F.pmod(F.xxhash64(*columns), F.lit(n_ranges))).otherwise(F.lit(0).cast("long")))
+        ties = F.sum(count).over(Window.partitionBy("_range", "_spread", c))
+        upto = F.sum(count).over(Window.partitionBy("_range", "_spread").orderBy(c))
+        ranked = F.create_map(*before)[F.col("_range")] + upto - (ties - 1) / 2
+        df = df.withColumn(f"r_{c}", F.when(alone, F.create_map(*single)[F.col("_range")]).otherwise(ranked)).drop("_range", "_spread")
+    return df
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Spearman's rho and its p value; under 30 rows or without spread it is 0 and 1."""
-    both = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    ranked = average_rank(average_rank(both, a, "_ra"), b, "_rb")
-    one = ranked.agg(F.count(F.lit(1)).alias("n"), pearson("_ra", "_rb").alias("rho"), F.stddev_samp(a).alias("sa"), F.stddev_samp(b).alias("sb"))
-    poor = (F.col("n") < 30) | (F.coalesce("sa", F.lit(0.0)) < 1e-8) | (F.coalesce("sb", F.lit(0.0)) < 1e-8)
-    return one.select("n", F.when(poor, 0.0).otherwise(F.col("rho")).alias("rho"))
+    """n, Spearman's rho and its two-sided p value; under 30 rows or without spread they are 0 and 1.  From joint counts: equal pairs of values are one row."""
+    both = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    ranked = average_ranks(both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), ["a", "b"], "n")
+    total = F.sum("n")
+    mean = lambda c: F.sum(F.col("n") * c) / total
+    ra, rb = F.col("r_a"), F.col("r_b")
+    one = ranked.agg(total.alias("n"), mean(ra).alias("ma"), mean(rb).alias("mb"), mean(ra * ra).alias("aa"), mean(rb * rb).alias("bb"), mean(ra * rb).alias("ab"), (F.max("a") - F.min("a")).alias("sa"), (F.max("b") - F.min("b")).alias("sb"))
+    rho = F.try_divide(F.col("ab") - F.col("ma") * F.col("mb"), F.sqrt((F.col("aa") - F.col("ma") * F.col("ma")) * (F.col("bb") - F.col("mb") * F.col("mb"))))
+    poor = (F.coalesce("n", F.lit(0).cast("long")) < 30) | (F.coalesce("sa", F.lit(0.0)) < 1e-8) | (F.coalesce("sb", F.lit(0.0)) < 1e-8)
+    r = one.select(F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.when(poor, 0.0).otherwise(rho).alias("rho"), poor.alias("poor")).first()  # one row
+    return df.sparkSession.createDataFrame([(r.n, r.rho, 1.0 if r.poor else t_tail(r.rho, r.n))], "n long, rho double, p double")
 
 
 def t_tail(rho: float, n: int) -> float:

@@ -2,6 +2,7 @@
 
 import math
 import struct
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def test_spearman_ties_and_guards(spark):
     assert stats.spearman(few, "a", "b").first().rho == 0
     df = spark.range(200).select((F.col("id") % 10).cast("double").alias("a"), ((F.col("id") % 10) * 2.0).alias("b"))
     assert stats.spearman(df, "a", "b").first().rho == pytest.approx(1.0)
-    ranks = [r.r for r in stats.average_rank(spark.createDataFrame([(1.0,), (1.0,), (5.0,)], "v double"), "v", "r").orderBy("r").collect()]
+    ranks = [r.r_v for r in stats.average_ranks(spark.createDataFrame([(1.0, 1), (1.0, 1), (5.0, 1)], "v double, n int"), ["v"], "n").orderBy("r_v").collect()]
     assert ranks == [1.5, 1.5, 3.0]
     assert stats.t_tail(0.3, 50) == pytest.approx(0.034286, abs=1e-5)
 
@@ -172,7 +173,7 @@ def test_networks():
     s = r.standard_normal((300, 6, 1))
     y = s[:, -1, 0] * 0.5
     lstm = ml.Lstm(1, 8)
-    grads, eps = lstm._gradients(s[:20], y[:20]), 1e-6
+    grads, eps = lstm.gradients(s[:20], y[:20]), 1e-6
     for k in ("w", "v"):
         at = (1, 2) if k == "w" else (2,)
         lstm.p[k][at] += eps
@@ -218,7 +219,7 @@ def test_sources_and_sinks(spark, tmp_path):
     (place / "77002.json").write_text('{"hourly": {"time": ["2026-03-01T00:00", "2026-03-01T01:00"], "pm10": [1, null]}}')
     spark.dataSource.register(api.HourlyReadings)
     df = spark.read.format("hourly_readings").options(url=f"file://{place}", start="2026-03-01", end="2026-03-01", variables="pm10", places='[["77002", 29.7, -95.3]]').load()
-    assert [(r.zip, r.time, r.pm10) for r in df.collect()] == [("77002", "2026-03-01T00:00", 1.0), ("77002", "2026-03-01T01:00", None)]
+    assert [(r.zip, r.time, r.pm10) for r in df.collect()] == [("77002", datetime(2026, 3, 1, 0), 1.0), ("77002", datetime(2026, 3, 1, 1), None)]
     now = [0.0]
     limiter = api.WeightLimiter(10, 60, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s))
     for _ in range(3):
