@@ -1,6 +1,6 @@
 """All named queries and their SQL."""
 
-from . import models  # noqa: F401  registers its queries
+from . import columns, models, storage  # noqa: F401  register their queries
 from .catalog import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

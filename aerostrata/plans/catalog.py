@@ -7,6 +7,8 @@ synthetic coordinates from their keys.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,16 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a temporary one only where none is set and all runs on this machine (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return f"{base.rstrip('/')}/work-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="aerostrata-") + "/work"
+
+
 def readings(spark: SparkSession, d: str) -> DataFrame:
     """events as readings; every 17th value is missing."""
     e = read(spark, d, "events")
@@ -113,13 +125,17 @@ def run_log_antijoin(spark, d):
     return clean.members(days, done, ["day"], keep=False)
 
 
-@query("WITH imp AS (SELECT p_brand AS feature, avg(p_retailprice) / 2000 AS a FROM part GROUP BY 1), v AS (SELECT p_brand AS feature, var_samp(p_size) / 400 AS b FROM part WHERE p_size > 10 GROUP BY 1), s AS (SELECT feature, coalesce(a, 0) * 0.25 + coalesce(a, 0) * 0.30 + coalesce(b, 0) * 0.35 + coalesce(b, 0) * 0.10 AS raw, coalesce(b, 0) < 0.2 AS low FROM imp LEFT JOIN v USING (feature)), t AS (SELECT feature, low, CASE WHEN low THEN raw * 0.1 ELSE raw END AS score FROM s) SELECT feature, score, CASE WHEN low THEN 'USELESS (near-zero variance)' WHEN score >= 0.4 THEN 'IMPORTANT' WHEN score >= 0.15 THEN 'MARGINAL' ELSE 'USELESS' END AS verdict FROM t")
+@query("WITH c AS (SELECT p_brand AS feature, avg(p_retailprice) / 2000 AS a FROM part GROUP BY 1), f AS (SELECT p_brand AS feature, max(p_retailprice) / 2500 AS a FROM part WHERE p_size > 5 GROUP BY 1), m AS (SELECT p_brand AS feature, avg(p_size) / 50 AS a FROM part WHERE p_size > 20 GROUP BY 1), v AS (SELECT p_brand AS feature, var_samp(p_size) / 400 AS a FROM part WHERE p_size > 10 GROUP BY 1), s AS (SELECT feature, coalesce(c.a, 0) * 0.25 + coalesce(f.a, 0) * 0.30 + coalesce(m.a, 0) * 0.35 + coalesce(v.a, 0) * 0.10 AS raw, coalesce(v.a, 0) < 0.2 AS low FROM c LEFT JOIN f USING (feature) LEFT JOIN m USING (feature) LEFT JOIN v USING (feature)), t AS (SELECT feature, low, CASE WHEN low THEN raw * 0.1 ELSE raw END AS score FROM s) SELECT feature, score, CASE WHEN low THEN 'USELESS (near-zero variance)' WHEN score >= 0.4 THEN 'IMPORTANT' WHEN score >= 0.15 THEN 'MARGINAL' ELSE 'USELESS' END AS verdict FROM t")
 def consensus_score(spark, d):
+    """Four importances of each feature, from four inputs joined one after another."""
     p = read(spark, d, "part")
-    a = p.groupBy(F.col("p_brand").alias("feature")).agg((F.avg("p_retailprice") / 2000).alias("a"))
-    b = p.where("p_size > 10").groupBy(F.col("p_brand").alias("feature")).agg((F.var_samp("p_size") / 400).alias("b"))
-    both = a.join(b, "feature", "left").withColumn("low", F.coalesce("b", F.lit(0.0)) < 0.2)
-    scored = both.withColumn("score", S.consensus(F.col("a"), F.col("a"), F.col("b"), F.col("b"), F.col("low")))
+    one = lambda rows, figure, name: rows.groupBy(F.col("p_brand").alias("feature")).agg(figure.alias(name))
+    both = one(p, F.avg("p_retailprice") / 2000, "correlation")
+    both = both.join(one(p.where("p_size > 5"), F.max("p_retailprice") / 2500, "forest"), "feature", "left")
+    both = both.join(one(p.where("p_size > 20"), F.avg("p_size") / 50, "permutation"), "feature", "left")
+    both = both.join(one(p.where("p_size > 10"), F.var_samp("p_size") / 400, "variance"), "feature", "left")
+    both = both.withColumn("low", F.coalesce("variance", F.lit(0.0)) < 0.2)
+    scored = both.withColumn("score", S.consensus(*[F.col(c) for c in ("correlation", "forest", "permutation", "variance", "low")]))
     return scored.select("feature", "score", S.verdict(F.col("score"), F.col("low")).alias("verdict"))
 
 
@@ -221,12 +237,12 @@ def keep_first_dedupe(spark, d):
     return clean.first_of_each(read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
-@query("SELECT event_id, sum(1) OVER (ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS weight_60m FROM (SELECT * FROM events WHERE user_id = 1)")
+@query("SELECT event_id, sum(1) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS weight_60m FROM events")
 def sliding_weight(spark, d):
-    """Requests' weight within the last hour, as a rate limiter adds it up (one client)."""
+    """Each client's requests' weight within the last hour, as a rate limiter adds it up."""
     from pyspark.sql import Window
 
-    one = read(spark, d, "events").where("user_id = 1").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    one = read(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-3_600_000_000, 0)
     return one.select("event_id", F.sum(F.lit(1)).over(w).alias("weight_60m"))
 
@@ -299,11 +315,11 @@ def run_prefix(spark, d):
     return a.select("o_orderkey", S.window_prefix(F.col("s"), F.col("e")).alias("prefix"), F.date_add("s", 1).alias("next_day"), F.date_sub("e", 5).alias("archive_limit"))
 
 
-@query("SELECT s_suppkey, unnest(range(TIMESTAMP '2024-03-09 00:00:00', TIMESTAMP '2024-03-10 00:00:00', INTERVAL 1 HOUR)) AS time FROM supplier WHERE s_suppkey < 5")
+@query("SELECT s_suppkey, unnest(range(TIMESTAMP '2024-03-09 00:00:00', TIMESTAMP '2024-03-10 00:00:00', INTERVAL 1 HOUR)) AS time FROM supplier")
 def hour_axis(spark, d):
     """Half-open hourly series for each place."""
     axis = F.expr("explode(sequence(timestamp_ntz'2024-03-09 00:00:00', timestamp_ntz'2024-03-10 00:00:00' - interval 1 hour, interval 1 hour))")
-    return read(spark, d, "supplier").where("s_suppkey < 5").select("s_suppkey", axis.alias("time"))
+    return read(spark, d, "supplier").select("s_suppkey", axis.alias("time"))
 
 
 @query("SELECT n_nationkey, n_nationkey + i AS temperature, n_nationkey * i AS humidity FROM nation, range(3) t(i)")
@@ -430,8 +446,8 @@ def skew_kurt_pop(spark, d):
 
 @query("SELECT quantile_cont(value, 0.01) AS q01, quantile_cont(value, 0.02) AS q02, quantile_cont(value, 0.95) AS q95, quantile_cont(value, 0.98) AS q98, quantile_cont(value, 0.99) AS q99 FROM events")
 def exact_quantiles(spark, d):
-    one = read(spark, d, "events").agg(F.percentile("value", F.array(*[F.lit(q) for q in (0.01, 0.02, 0.95, 0.98, 0.99)])).alias("q"))
-    return one.select(*[F.col("q")[i].alias(n) for i, n in enumerate(("q01", "q02", "q95", "q98", "q99"))])
+    found = stats.quantiles(read(spark, d, "events"), ["value"], [0.01, 0.02, 0.95, 0.98, 0.99])["value"]
+    return spark.createDataFrame([tuple(found)], ", ".join(f"{n} double" for n in ("q01", "q02", "q95", "q98", "q99")))
 
 
 def _iqr_sql(k: float) -> str:
@@ -482,14 +498,28 @@ def corr_pairs_top20(spark, d):
 
 @query("WITH k AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS ra, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS rb FROM lineitem) SELECT count(*) AS n, corr(ra, rb) AS rho FROM k")
 def spearman(spark, d):
-    return stats.spearman(read(spark, d, "lineitem"), "l_quantity", "l_extendedprice")
+    return stats.spearman(read(spark, d, "lineitem"), "l_quantity", "l_extendedprice").drop("p")
+
+
+# Student's density is summed by Simpson's rule over 2,000 steps from 0 to |t|.
+@query("""WITH k AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS ra, rank() OVER (ORDER BY l_discount) + (count(*) OVER (PARTITION BY l_discount) - 1) / 2.0 AS rb FROM lineitem),
+r AS (SELECT count(*) AS n, corr(ra, rb) AS rho FROM k), t AS (SELECT n, rho, n - 2.0 AS df, abs(rho) * sqrt((n - 2) / (1 - rho * rho)) AS t FROM r),
+s AS (SELECT sum((CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-(df + 1) / 2 * ln(1 + (t * i / 2000) ** 2 / df))) * t / 6000 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) AS half FROM t, range(2001) g(i) GROUP BY t, df)
+SELECT n, round(rho, 9) AS rho, round(1 - 2 * half, 7) AS p FROM t, s""")
+def spearman_test(spark, d):
+    """Rank correlation of two columns that have little to do with each other, and its p value."""
+    return stats.spearman(read(spark, d, "lineitem"), "l_quantity", "l_discount").select("n", F.round("rho", 9).alias("rho"), F.round("p", 7).alias("p"))
+
+
+_SERIES = {"value": "value", "hour": "CAST(hour(ts) AS DOUBLE)", "minute": "CAST(minute(ts) AS DOUBLE)", "turn": "CAST(event_id % 97 AS DOUBLE)"}
+_LAGS = range(1, 25)
 
 
-@query("WITH g AS (SELECT value AS v, " + ", ".join(f"lag(value, {k}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p{k}" for k in range(1, 6)) + " FROM events) " + " UNION ALL ".join(f"SELECT {k} AS k, corr(v, p{k}) AS r FROM g" for k in range(1, 6)))
+@query("WITH e AS (SELECT user_id, ts, event_id, " + ", ".join(f'{x} AS "{n}"' for n, x in _SERIES.items()) + " FROM events), g AS (SELECT *, " + ", ".join(f'lag("{n}", {k}) OVER w AS {n}_{k}' for n in _SERIES for k in _LAGS) + " FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) " + " UNION ALL ".join(f"SELECT '{n}' AS series, {k} AS k, corr(\"{n}\", {n}_{k}) AS r FROM g" for n in _SERIES for k in _LAGS))
 def lag_autocorrelation(spark, d):
-    g = windows.lags(read(spark, d, "events"), ["value"], 5, "user_id", ["ts", "event_id"])
-    one = g.agg(*[stats.pearson("value", f"value_past_{k}").alias(f"p{k}") for k in range(1, 6)])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"p{k}").alias("r")) for k in range(1, 6)])).alias("x")).select("x.*")
+    """Correlation of four series with their own past, 1 to 24 rows back."""
+    e = read(spark, d, "events").select("user_id", "ts", "event_id", *[F.expr(x).alias(n) for n, x in _SERIES.items()])
+    return stats.own_past(e, list(_SERIES), len(_LAGS), "user_id", ["ts", "event_id"])
 
 
 @query("SELECT CAST(hour(ts) AS INTEGER) AS hour, " + ", ".join(f'avg(value) FILTER (WHERE isodow(ts) - 1 = {k}) AS "{k}"' for k in range(7)) + " FROM events GROUP BY 1")

@@ -7,17 +7,18 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number_or_zero
-from ..operators.stats import any_yes, joined_distinct
+from ..operators.stats import any_yes, joined_distinct, joined_in_order
 from . import schemas
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
 
-def delimited(spark: SparkSession, path: str, schema: str | None = None, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+def delimited(spark: SparkSession, path: str | list[str], schema: str | None = None, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """A text table with a header; a given schema is held against the header, short rows get nulls."""
     r = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("mode", "PERMISSIVE")
     return r.option("enforceSchema", False).schema(schema).csv(path) if schema else r.option("inferSchema", True).csv(path)
@@ -32,11 +33,6 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return text_columns(spark, path).limit(0).columns
 
 
-def with_source_order(df: DataFrame) -> DataFrame:
-    """seq: a number that grows with file and row (gaps between partitions), for first-wins rules."""
-    return df.withColumn("seq", F.monotonically_increasing_id())
-
-
 def toxic_releases(spark: SparkSession, path: str, state: str = "TX", counties: tuple[str, ...] = schemas.HOUSTON_COUNTIES) -> DataFrame:
     """The yearly inventory (tab separated, Latin-1): wanted columns, rows of one state and some counties, amounts as numbers."""
     raw = text_columns(spark, path, "\t", "ISO-8859-1")
@@ -72,12 +68,77 @@ def map_elements(documents: DataFrame, column: str = "value") -> DataFrame:
     return e.select(F.col("id").alias("osm_id"), F.col("type").alias("osm_type"), *[tag(k).alias(n) for n, k in named.items()], at("lat").alias("lat"), at("lon").alias("lon"))
 
 
-def road_density(edges: DataFrame, radius: int) -> DataFrame:
-    return edges.groupBy("zip").agg(F.sum("length").alias(f"road_len_m_{radius}"))
+def yearly(parts: dict[str, DataFrame]) -> DataFrame:
+    """The tables of some years under one another, with reporting_year; nothing is dropped."""
+    out = None
+    for year, df in sorted(parts.items()):
+        df = df.withColumn("reporting_year", F.lit(year))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def toxic_chemicals(releases: DataFrame) -> DataFrame:
+    """The releases that amount to something, a row each."""
+    cols = ["trifd", "facility", "zip", "latitude", "longitude", "chemical", "carcinogen", "hap", "fugitive_lbs", "stack_lbs"]
+    return releases.where("total_air > 0").select(*cols, F.col("total_air").alias("total_air_emissions_lbs"))
+
+
+def enriched_facilities(facilities: DataFrame, chemicals: DataFrame, key: str = "trifd", amount: str = "total_air_emissions_lbs", own: str | None = None) -> DataFrame:
+    """Facilities with amount (their own where they have one, else their chemicals' sum) and chemical_count, 0 where there is none; rows without a place go."""
+    sums = chemicals.groupBy(key).agg(F.sum(F.coalesce(F.col(amount).try_cast("double"), F.lit(0.0))).alias("_sum"), F.countDistinct("chemical").cast("double").alias("_count"))
+    known = facilities.withColumns({c: F.col(c).try_cast("double") for c in ("latitude", "longitude")}).na.drop(subset=["latitude", "longitude"])
+    joined = known.join(sums, key, "left")
+    first = F.col(own).try_cast("double") if own else F.lit(None).cast("double")
+    return joined.withColumns({"amount": F.coalesce(first, "_sum", F.lit(0.0)), "chemical_count": F.coalesce("_count", F.lit(0.0))}).drop("_sum", "_count")
+
 
+def street_edges(documents: DataFrame, zip_code: str = "zip", column: str = "value") -> DataFrame:
+    """Edges of street networks, a document for each place, as node-link graphs: zip, u, v, length."""
+    links = F.from_json(F.get_json_object(column, "$.links"), "array<struct<source:bigint,target:bigint,length:double>>")
+    return documents.select(F.col(zip_code).alias("zip"), F.explode(links).alias("e")).select("zip", F.col("e.source").alias("u"), F.col("e.target").alias("v"), "e.length")
 
-def classified_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Daily files by kind: air or weather, by name."""
+
+def road_density(edges: DataFrame, radius: int, places: DataFrame | None = None) -> DataFrame:
+    """Length of all streets about each place; null for places without a network."""
+    out = edges.groupBy("zip").agg(F.sum("length").alias(f"road_len_m_{radius}"))
+    return places.select("zip").distinct().join(out, "zip", "left") if places is not None else out
+
+
+def registry(rows: DataFrame, order: str = "seq") -> DataFrame:
+    """One row for each RegistryId: its first row, with all programs that found it in the order of finding them."""
+    others = [c for c in rows.columns if c not in ("RegistryId", "matched_program", order)]
+    programs = joined_in_order("matched_program", order, ",").alias("matched_program")
+    return rows.groupBy("RegistryId").agg(F.min_by(F.struct(*others), order).alias("_first"), programs).select("RegistryId", "_first.*", "matched_program")
+
+
+def listed(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
+    """Paths of a folder's files, in any store that Spark reads; contents are not read."""
+    try:
+        rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder).select("path").collect()
+    except AnalysisException:  # no such folder
+        return []
+    return sorted(r.path for r in rows)
+
+
+def merged_files(spark: SparkSession, files: DataFrame, kind: str, schema: str) -> DataFrame:
+    """All rows of one kind's daily files under one header (another one raises), with month and day of the file's name and seq, so that the order of arrival is no matter."""
+    paths = [r.path for r in files.where(F.col("kind") == kind).select("path").collect()]
+    wanted = spark.createDataFrame([], schema).columns
+    for p in paths:
+        got = header_of(spark, p)
+        if got and got != wanted:
+            raise ValueError(f"{p}: the header is {got}, not {wanted}")
+    if not paths:
+        return spark.createDataFrame([], f"{schema}, month int, day int, seq bigint")
+    rows = delimited(spark, paths, schema)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    month, day = file_day(name)
+    return rows.select("*", month.alias("month"), day.alias("day"), F.monotonically_increasing_id().alias("seq"))
+
+
+def classified_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Daily files by kind: air or weather, by name; of a list of paths or of a folder."""
+    paths = listed(spark, paths) if isinstance(paths, str) else paths
     files = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("name", F.element_at(F.split("path", "/"), -1))
     kind = F.when(F.col("name").contains("_air_quality_"), "air_quality").when(F.col("name").contains("_weather_"), "weather")
     return files.withColumn("kind", kind).where(F.col("kind").isNotNull() & F.col("name").endswith(".csv"))
@@ -98,9 +159,13 @@ def one_document(spark: SparkSession, path: str, default: dict) -> dict:
         return dict(default)
 
 
-def run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log of runs: a list of documents or one alone; damaged ones are dropped."""
-    return spark.read.schema(schemas.RUN_LOG).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+def run_log(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """The log of runs as sinks.log_run writes it, or (json) a list of documents or one alone, damaged ones dropped; empty where there is none."""
+    read = spark.read.schema(schemas.RUN_LOG)
+    try:
+        return read.option("multiLine", True).option("mode", "DROPMALFORMED").json(path) if kind == "json" else read.parquet(path)
+    except AnalysisException:  # no such path
+        return spark.createDataFrame([], schemas.RUN_LOG)
 
 
 def places_asked(text: str) -> list[tuple[str, str]]:

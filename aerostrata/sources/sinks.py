@@ -59,6 +59,26 @@ def model(fitted, path: str) -> None:
     fitted.write().overwrite().save(path)
 
 
+def network(spark: SparkSession, params: dict, path: str) -> None:
+    """Parameters of a numpy network as a table: name, shape, values."""
+    rows = [(k, list(v.shape), [float(x) for x in v.ravel()]) for k, v in params.items()]
+    spark.createDataFrame(rows, "name string, shape array<int>, values array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def stored_network(spark: SparkSession, path: str) -> dict:
+    import numpy as np
+
+    return {r.name: np.array(r["values"]).reshape(r.shape) for r in spark.read.parquet(path).collect()}
+
+
+def raw(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file of bytes, in any store that Spark writes."""
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to, True)
+    out.write(bytearray(content))
+    out.close()
+
+
 def shapes(df: DataFrame, zips: DataFrame, path: str) -> None:
     """The shapes of the ZIP codes in use, as Parquet."""
     df.join(zips.select("zip").distinct(), "zip", "left_semi").write.mode("overwrite").parquet(path)

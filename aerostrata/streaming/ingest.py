@@ -29,15 +29,17 @@ def append_days(stream: DataFrame, path: str, checkpoint: str, time: str = "time
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def missing_days(requested: DataFrame, log: DataFrame) -> DataFrame:
-    """Requested days without a logged success of the same script and parameters."""
-    done = log.where("status = 'success'").select("script", "day", "parameters").distinct()
-    return requested.join(done, ["script", "day", "parameters"], "left_anti")
+def missing_windows(requested: DataFrame, log: DataFrame) -> DataFrame:
+    """Requested windows (script, start_date, end_date) without a logged success of just that script and window."""
+    day = lambda k: F.col("parameters")[k].alias(k)
+    done = log.where("status = 'success'").select("script", day("start_date"), day("end_date")).distinct()
+    return requested.join(done, ["script", "start_date", "end_date"], "left_anti")
 
 
 def lag_stream(stream: DataFrame, value: str, n: int, key: str, order: list[str]) -> DataFrame:
-    """Lags kept as state: the last n values of each key; rows of a batch are taken in order.
+    """Lags kept as state: the last n values of each key, from batch to batch; rows of a batch are taken in order.
 
+    A key's rows of one batch are held together, so a batch (files a trigger) should be hours of a place, not years.
     Output: key, the order columns, value and <value>_past_1 to _n.
     """
     kinds = dict(stream.dtypes)
@@ -51,7 +53,7 @@ def lag_stream(stream: DataFrame, value: str, n: int, key: str, order: list[str]
         whole = kept + taken
         for k, p in enumerate(past, 1):
             rows[p] = pd.array([whole[len(kept) + i - k] if len(kept) + i - k >= 0 else None for i in range(len(taken))], dtype="Float64").astype("float64")
-        state.update((whole[-n:],))
+        state.update((whole[-n:],))  # the next batch's rows have these before them
         yield rows[[key, *order, value, *past]]
 
     return stream.groupBy(key).applyInPandasWithState(step, out, "last array<double>", "append", GroupStateTimeout.NoTimeout)
