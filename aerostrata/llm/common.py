@@ -55,11 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is set (tests)."""
+    """The folder that all executors share; a temporary one only where none is set and all runs on this machine (tests)."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     base = base or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="aerostrata-")
         sc.setCheckpointDir(base)
     return str(base)
@@ -91,8 +93,30 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+_resident: dict[str, object] = {}
+
+
+def resident(name: str, key: str, make):
+    """What make() gives, kept in this worker for later tasks of the same kind; one of each name."""
+    held = _resident.get(name)
+    if held is None or held[0] != key:
+        _resident[name] = held = (key, make())
+    return held[1]
+
+
+def begin_task(keep: str = "") -> None:
+    """Drop what tasks of other stages have left in this worker, but for the one named."""
+    left = [name for name in _resident if name != keep]
+    for name in left:
+        del _resident[name]
+    if left:
+        release_memory()
+
+
 def release_memory() -> None:
     """Give what a finished task has freed back to the system: workers stay for later stages."""
+    for powers in (_powers, _word_powers):
+        powers.shrink()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not glibc
         ctypes.CDLL(None).malloc_trim(0)
@@ -112,7 +136,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * _MULT)
 
 
-class _Powers:
+class Powers:
     """Powers of an odd number and of its inverse modulo 2**64, grown as needed."""
 
     def __init__(self, base: int):
@@ -128,9 +152,14 @@ class _Powers:
                 setattr(self, name, np.multiply.accumulate(x))
         return self.up[:n], self.down[:n]
 
+    def shrink(self) -> None:
+        """Forget what only a long text needed."""
+        if len(self.up) > BLOCK_BYTES + 4096:
+            self.up = self.down = np.ones(1, np.uint64)
+
 
-_powers = _Powers(0xD6E8FEB86659FD93)
-_word_powers = _Powers(0xA0761D6478BD642F)
+_powers = Powers(0xD6E8FEB86659FD93)
+_word_powers = Powers(0xA0761D6478BD642F)
 
 
 class Words:
