@@ -2,25 +2,26 @@
 
 A document's terms are its distinct words within a band of inverse document
 frequency (in at least ``LEAST_DOCS`` documents and at most ``MOST_SHARE`` of
-them; all its words, where fewer than ``LEAST_TERMS`` are in the band).  Document
-frequencies are counted exactly, for every distinct word of all documents, by a
+them), however many or few it has.  Document frequencies are counted exactly, for every distinct word of all documents, by a
 grouped aggregation over 54-bit hashes of words; the band's words, a sorted array
 that grows with the corpus (8 bytes a word), are broadcast.
 
 Plain I-Match hashes the sorted terms once, so one changed term changes all.
 Here the lexicon is split at random into parts, coarse and fine (``LEVELS``); a
-fingerprint is the number of terms, the hash of all of them and, for each part,
-16 bits of the hash of the sorted terms in it (0: none).  A part of share p
-agrees with probability (1 - p) ** d when d terms differ, so the parts that
-agree at each level give the likeliest d, and likeness is the Jaccard
-coefficient that follows from it and the two numbers of terms.
+fingerprint is the number of terms, the hash of their sorted list and, for each
+part, 16 bits of the hash of the sorted list of the terms in it (0: none).  A part of share p agrees with
+probability (1 - p) ** d when d terms differ, so the parts that agree at each
+level give the likeliest d, and likeness is the Jaccard coefficient that follows
+from it and the two numbers of terms; equal fingerprints have likeness 1.
 
 Neighbours in doc_id order meet by a range partitioning of the texts (one
 shuffle); each range also gets the first row of the next one.
 
 Defined results: a null text counts as empty; a null doc_id comes first; rows
 of equal doc_id follow each other by text; the fingerprint of a text without
-words is that of no terms, and two such are alike (1); an empty table gives no
+terms in the band (no words, or frequent and single ones only) is that of no
+terms, and two such are alike (1); a very long
+text is handled whole, with its neighbour as a block of its own; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -35,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Words, blocks, ensure_path, mix64
+from .common import PUNCTUATION, Powers, Words, begin_task, blocks, ensure_path, mix64, release_memory
 
 #: A worker sums 2 ** BITS entries (a word in a document each) before it sends them on.
 BITS = 21
-LEAST_DOCS, MOST_SHARE, LEAST_TERMS = 2, 0.05, 8
+LEAST_DOCS, MOST_SHARE = 2, 0.25
 #: (parts of the lexicon, parts kept, repetitions) of each level.
 LEVELS = ((4, 4, 5), (16, 16, 1), (64, 16, 1), (256, 16, 1), (1024, 16, 1))
 N_PARTS = sum(kept * times for _, kept, times in LEVELS)
@@ -61,6 +62,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int32))], ["word", "n"])
 
+    begin_task()
     held, size = [], 0
     for batch in batches:
         for part in blocks(batch):
@@ -103,31 +105,41 @@ class Prints:
         return [f"{n:08x}{w:016x}{raw[i * width : (i + 1) * width]}" for i, (n, w) in enumerate(zip(self.n.tolist(), self.whole.tolist()))]
 
 
+def list_hashes(values: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
+    """For each key below n a hash of its values in their order (0: none); equal keys stand together."""
+    out = np.zeros(n, np.uint64)
+    if len(key):
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        rank = np.arange(len(key)) - np.repeat(first, size)
+        up, _ = _places.upto(int(size.max()))
+        out[key[first]] = np.maximum(mix64(np.add.reduceat(values * up[rank], first) + size.astype(np.uint64)), np.uint64(1))
+    return out
+
+
 def fingerprints(texts: list[bytes | None], band: np.ndarray) -> Prints:
     """Fingerprints, given the sorted hashes of the words in the band."""
     word, owner = distinct_words(texts)
     n_texts = len(texts)
     inside = in_lexicon(word, band)
-    few = np.bincount(owner[inside], minlength=n_texts) < LEAST_TERMS
-    inside |= few[owner]
     word, owner = word[inside], owner[inside]
     n = np.bincount(owner, minlength=n_texts)
-    # words are sorted within a text: a term's hash and its successor's place are summed, so a sum stands for the sorted list
     hashed = mix64(word + np.uint64(0x51ED270B))
-    whole = np.zeros(n_texts, np.uint64)
-    np.add.at(whole, owner, hashed)
-    parts = np.zeros((n_texts, N_PARTS), np.uint64)
-    flat, at = parts.reshape(-1), 0
+    whole = list_hashes(hashed, owner, n_texts)
+    parts = []
     for level, (split, kept, times) in enumerate(LEVELS):
         for t in range(times):
-            part = (mix64(word ^ np.uint64((level * 16 + t + 1) << 56)) >> np.uint64(40)).astype(np.int64) % split
+            part = ((mix64(word ^ np.uint64((level * 16 + t + 1) << 56)) >> np.uint64(40)) % np.uint64(split)).astype(np.uint16)
             mine = np.flatnonzero(part < kept)
-            np.add.at(flat, owner[mine] * N_PARTS + at + part[mine], hashed[mine])
-            at += kept
-    short = (mix64(parts) >> np.uint64(48)).astype(np.uint16)
-    return Prints(n, mix64(whole), np.where(parts == 0, 0, np.maximum(short, 1)).astype(np.uint16))
+            mine = mine[np.argsort(part[mine], kind="stable")]  # by part, within it by text and word
+            key = part[mine].astype(np.int64) * n_texts + owner[mine]
+            parts.append(list_hashes(hashed[mine], key, kept * n_texts).reshape(kept, n_texts))
+    parts = np.ascontiguousarray(np.concatenate(parts).T)
+    short = np.maximum(parts >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+    return Prints(n, whole, np.where(parts == 0, 0, short).astype(np.uint16))
 
 
+_places = Powers(0xD6E8FEB86659FD93)
 _GRID = np.unique(np.concatenate([np.arange(33), np.round(2 ** np.arange(5, 20, 0.125))])).astype(np.float64)
 _SHARE = np.array([1 / split for split, _, _ in LEVELS])
 _AGREE = np.minimum(_GRID[:, None] * np.log1p(-_SHARE), -1e-12)  # log of (1 - p) ** d
@@ -148,8 +160,7 @@ def likeness(a: Prints, b: Prints) -> np.ndarray:
     d = _GRID[score.argmax(1)]
     d = np.maximum(np.maximum(d, np.abs(a.n - b.n)), 1)
     out = np.clip((total - d) / np.maximum(total + d, 1), 0, 1)
-    equal = (a.n == b.n) & (a.whole == b.whole) & same.all(1)
-    return np.where(equal, 1.0, out)
+    return np.where((a.n == b.n) & (a.whole == b.whole) & same.all(1), 1.0, out)
 
 
 def parse(prints: list[str]) -> Prints:
@@ -198,6 +209,7 @@ def _print_task(band):
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         held, size, last = [], 0, None
         for batch in batches:
             for part in blocks(batch):
@@ -212,6 +224,8 @@ def _print_task(band):
                     last = (doc_id, text, bucket, lead)
         if held:
             yield finish(held)
+        held, last = [], None
+        release_memory()
 
     return run
 
