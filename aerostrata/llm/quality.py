@@ -6,15 +6,17 @@ Learned filters run over every second byte position; each filter's greatest
 response in a chunk goes through a hidden layer; the chunks' hidden values are
 combined, by their greatest and their mean, into one probability.
 
-The network learns from a bounded sample of labelled rows (``training.PER_CLASS``
-documents of each class, ``TRAIN_HALVES`` half chunks at a random place of each
-per step) on the driver, with a fixed seed.  Scoring covers all bytes, keeps
-blocks of about a megabyte in memory, and depends on the text alone.
-
-Defined results: null and empty texts are one half chunk of padding; where no
-row may be learned from, or all have one label, the score is constant (0.5, or
-that label's 0.001 or 0.999); repeated rows get a row each; an empty table gives
-no rows.
+The network learns from a bounded sample of labelled rows (``training``), whole
+texts, on the driver, with a fixed seed.  Scoring covers all bytes, keeps blocks
+of about half a megabyte in memory, and depends on the text alone.
+
+Defined results: null and empty texts are one half chunk of padding; a very long
+text is scored and learned from whole, as a block of its own, some hundred half
+chunks at a time; where no row may be learned from, or all have one label, the
+score is constant (0.5, or that label's 0.001 or 0.999); equal texts have equal
+scores, whatever their ids (null is one, not held out); repeated rows get a row
+each; an empty table gives no rows; other columns are ignored (``accepted`` keeps
+them all, whatever their names).
 """
 
 from __future__ import annotations
@@ -26,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, crc_mod, ensure_path, release_memory
-from .training import Adam, labelled_sample, segment_max, sigmoid
+from .common import begin_task, blocks, crc_mod, ensure_path, release_memory
+from .training import PLACES, Adam, doubled, labelled_sample, segment_max, sigmoid
 
 HALF, WIDTH, STRIDE = 128, 5, 2
 EMBED, FILTERS, HIDDEN = 8, 32, 16
-TRAIN_HALVES, BATCH, STEPS, SEED = 20, 32, 500, 11
+BATCH, STEPS, SEED = 32, 500, 11
+#: Half chunks handled at a time.
+STEP = 256
 THRESHOLD = 0.3
 
 
@@ -60,12 +64,16 @@ class ByteNet:
         a, b, c = x.strides
         return np.lib.stride_tricks.as_strided(x, (len(rows), HALF // STRIDE, WIDTH * EMBED), (a, STRIDE * b, c))
 
-    def pooled(self, rows: np.ndarray, step: int = 256) -> np.ndarray:
+    def _responses(self, rows: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        for i in range(0, len(rows), STEP):
+            win = self._windows(rows[i : i + STEP])
+            yield slice(i, i + STEP), (win.reshape(-1, WIDTH * EMBED) @ self.p["w1"]).reshape(len(win), HALF // STRIDE, FILTERS)
+
+    def pooled(self, rows: np.ndarray) -> np.ndarray:
         """Each filter's greatest response in each half chunk."""
-        out = np.empty((len(rows), FILTERS), np.float32)
-        for i in range(0, len(rows), step):
-            win = self._windows(rows[i : i + step])
-            out[i : i + step] = (win.reshape(-1, WIDTH * EMBED) @ self.p["w1"]).reshape(len(win), HALF // STRIDE, FILTERS).max(1)
+        out = np.empty((len(rows), FILTERS), self.p["w1"].dtype)
+        for some, z in self._responses(rows):
+            out[some] = z.max(1)
         return np.maximum(out + self.p["b1"], 0)
 
     def head(self, halves: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -78,23 +86,25 @@ class ByteNet:
         count = np.diff(np.append(first, len(halves)))
         top, mean = segment_max(hidden, first), np.add.reduceat(hidden, first, axis=0) / count[:, None]
         both = np.concatenate([top, mean], 1)
-        return both @ self.p["w3"] + self.p["b3"][0], both, hidden, chunk, nxt, count
+        return (both * self.p["w3"]).sum(1) + self.p["b3"][0], both, hidden, chunk, nxt, count
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
         rows, first = half_chunks([(t or "").encode() for t in texts])
-        return sigmoid(self.head(self.pooled(rows), first)[0].astype(np.float64))
-
-    def gradients(self, rows: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        p = self.p
-        win = self._windows(rows)
-        z = (win.reshape(-1, WIDTH * EMBED) @ p["w1"]).reshape(len(rows), HALF // STRIDE, FILTERS)
-        at = z.argmax(1)
-        raw = np.take_along_axis(z, at[:, None], 1)[:, 0] + p["b1"]
+        wide = ByteNet(doubled(self.p, *self.p))
+        return np.round(sigmoid(wide.head(wide.pooled(rows), first)[0]), PLACES)
+
+    def gradients(self, rows: np.ndarray, first: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> dict[str, np.ndarray]:
+        """Of the mean loss over the texts, each taken so many times."""
+        p, times = self.p, np.ones(len(y)) if times is None else times
+        at, raw = np.empty((len(rows), FILTERS), np.int64), np.empty((len(rows), FILTERS), np.float32)
+        for some, z in self._responses(rows):
+            at[some] = z.argmax(1)
+            raw[some] = np.take_along_axis(z, at[some][:, None], 1)[:, 0] + p["b1"]
         halves = np.maximum(raw, 0)
         logit, both, hidden, chunk, nxt, count = self.head(halves, first)
-        d = ((sigmoid(logit) - y) / len(y)).astype(np.float32)
+        d = ((sigmoid(logit) - y) * times / times.sum()).astype(np.float32)
         g = {"w3": both.T @ d, "b3": np.array([d.sum()], np.float32)}
         d_both = d[:, None] * p["w3"]
         owner = np.repeat(np.arange(len(first)), count)
@@ -109,15 +119,14 @@ class ByteNet:
         np.add.at(d_half, nxt, d_chunk * ~own)
         d_half *= raw > 0
         g["b1"] = d_half.sum(0)
-        i, f = np.nonzero(d_half)
-        v, pos = d_half[i, f], at[i, f]
-        picked = win[i, pos]
-        g["w1"] = np.zeros_like(p["w1"])
-        np.add.at(g["w1"].T, f, picked * v[:, None])
-        d_win = (p["w1"].T[f] * v[:, None]).reshape(len(v), WIDTH, EMBED)
-        byte = rows[i[:, None], pos[:, None] * STRIDE + np.arange(WIDTH)]
-        g["emb"] = np.zeros_like(p["emb"])
-        np.add.at(g["emb"], byte, d_win)
+        g["w1"], g["emb"] = np.zeros_like(p["w1"]), np.zeros_like(p["emb"])
+        for f in range(FILTERS):
+            i = np.flatnonzero(d_half[:, f])
+            v = d_half[i, f]
+            byte = rows[i[:, None], at[i, f][:, None] * STRIDE + np.arange(WIDTH)]
+            g["w1"][:, f] = v @ p["emb"][byte].reshape(len(i), -1)
+            for j, w in enumerate(p["w1"][:, f].reshape(WIDTH, EMBED)):
+                g["emb"] += np.bincount(byte[:, j], v, 256)[:, None].astype(np.float32) * w
         return g
 
 
@@ -132,19 +141,16 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, steps: int = STEPS,
     for step in range(steps):
         # as many of each class in a step; the classes' shares come back in the last bias
         pick = np.concatenate([r.choice(c, BATCH // 2) for c in classes])
-        cut = []
-        for i in pick:
-            spare = max(0, len(raw[i]) - TRAIN_HALVES * HALF)
-            at = int(r.integers(0, spare + 1)) if spare else 0
-            cut.append(raw[i][at : at + TRAIN_HALVES * HALF])
-        rows, first = half_chunks(cut)
-        adam.step(net.gradients(rows, first, y[pick]), min(1.0, 2 * (1 - step / steps)))
+        pick, times = np.unique(pick, return_counts=True)
+        rows, first = half_chunks([raw[i] for i in pick])
+        adam.step(net.gradients(rows, first, y[pick], times), min(1.0, 2 * (1 - step / steps)))
     net.p["b3"] += np.float32(np.log(weight[y == 1].sum() / weight[y == 0].sum()))
     return net
 
 
 def _score_task(net: ByteNet):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             for part in blocks(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(net.scores(part.column("text").to_pylist()), pa.float64())], ["doc_id", "score"])
@@ -172,6 +178,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _keep_task(net: ByteNet):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             for part in blocks(batch):
                 kept = net.scores(part.column("text").to_pylist()) >= THRESHOLD

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: At most so many labelled documents of each class are fetched to fit a model.
-PER_CLASS = 1500
+#: A model is fitted on a sample of labelled rows: of each class at most so many documents, in the order of a hash of the
+#: id, and no more of them once their texts come to CLASS_BYTES.  Texts are whole; the bounds keep the driver's memory.
+PER_CLASS, CLASS_BYTES = 1500, 16 << 20
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray, np.ndarray, list[str | None]]:
-    """Texts, labels, weights and languages of up to per_class documents of each class, in the order of a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES) -> tuple[list[str], np.ndarray, np.ndarray, list[str | None]]:
+    """Texts, labels, weights and languages of up to per_class documents of each class.
 
-    A document labelled more than once counts by its greatest label; null ids
-    and labels do not count.  The weights restore the classes' shares among all
+    A document labelled more than once counts by its greatest label, rows that
+    share an id by the greatest text; null ids and labels do not count.  The weights restore the classes' shares among all
     rows that may be learned from.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & may_learn).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("y"))
@@ -26,8 +27,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: C
     if picked is None:
         return [], np.empty(0), np.empty(0), []
     # picked has at most 2 * per_class rows
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y", "lang").collect()
-    rows = sorted({(r.doc_id, r.text or "", r.y, r.lang or "") for r in rows})
+    some = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang")).join(F.broadcast(picked), "doc_id")
+    some = some.groupBy("doc_id", "y").agg(F.max(F.struct("text", "lang")).alias("row")).select("doc_id", "y", "row.*")
+    before = F.sum(F.octet_length("text")).over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")) - F.octet_length("text")
+    rows = some.withColumn("before", before).where(F.col("before") < class_bytes).collect()
+    rows = sorted((r.doc_id, r.text, r.y, r.lang) for r in rows)
     y = np.array([r[2] for r in rows], np.float32)
     weight = np.array([shares[r[2]] / max(1, np.count_nonzero(y == r[2])) for r in rows], np.float32)
     return [r[1] for r in rows], y, weight / weight.mean() if len(rows) else weight, [r[3] or None for r in rows]
@@ -52,5 +56,14 @@ class Adam:
             self.params[k] -= (self.rate * scale * up / (np.sqrt(self.v[k] / (1 - 0.999**self.t)) + 1e-8)).astype(np.float32)
 
 
+#: Scores are computed with double precision and rounded to so many places: what else stands in a block does not show in them.
+PLACES = 9
+
+
+def doubled(params: dict[str, np.ndarray], *names: str) -> dict[str, np.ndarray]:
+    """The parameters, those named in double precision."""
+    return {k: v.astype(np.float64) if k in names else v for k, v in params.items()}
+
+
 def segment_max(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.maximum.reduceat(x, first, axis=0)
