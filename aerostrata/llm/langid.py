@@ -3,7 +3,8 @@
 * Text: bytes' trigrams (ASCII letters in lower case) of the page without markup,
   under a smoothed model of each language, counted over all labelled documents.
   Neighbouring trigrams are no independent evidence, so the mean log likelihood
-  counts for a third of the trigrams, and for ``MOST_EVIDENCE`` at most.
+  of n counts ``WEIGHT`` times the square root of n: longer pages say more, ever
+  more slowly.
 * Markup: the language declared by the page (html's lang or xml:lang, else a
   content-language meta).  How far a declaration can be trusted is learned from
   the pages: P(declared | language) from soft counts over all pages.
@@ -15,7 +16,7 @@
 The languages are those of the documents.  Results are probabilities of them.
 
 Defined results: a null or empty page has no text evidence, an undeclared one no
-markup evidence; a null or malformed url is the host ''; without any labelled
+markup evidence; a very long page is read whole, as a block of its own; a null or malformed url is the host ''; without any labelled
 document lang and probability are null; ties go to the first language in code
 point order; repeated pages get a row each; empty tables give no rows; other
 columns are ignored.
@@ -32,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded, ensure_path, staged
+from .common import begin_task, blocks, bounded, ensure_path, staged
 
 CELLS = 1 << 16
-MOST_EVIDENCE = 60.0
+WEIGHT = 2.0
 #: Strength of each level's prior, in pages; trust put in a declaration before any page is seen.
 HOST_PRIOR, DOMAIN_PRIOR, SUFFIX_PRIOR, DECLARED_PRIOR, DECLARED_TRUST = 4.0, 4.0, 8.0, 10.0, 0.8
 SMOOTHING = 0.1
@@ -119,10 +120,16 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, np.log(table / table.sum(1, keepdims=True))
 
 
+def mean_rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The mean of the table's rows at these places, some at a time."""
+    return sum(table[at[i : i + 65536]].sum(0) for i in range(0, len(at), 65536)) / len(at)
+
+
 def _page_task(model: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.ascontiguousarray(model.T)
-        for batch in batches:
+        begin_task()
+        for batch in (part for batch in batches for part in blocks(batch, "html")):
             out: list[list] = [[] for _ in range(8)]
             for page_id, url, page in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
                 page = (page or "").encode()
@@ -130,7 +137,7 @@ def _page_task(model: np.ndarray):
                 grams = trigrams(text) if text.strip() else np.empty(0, np.int64)
                 evidence = np.zeros(cells.shape[1])
                 if len(grams):
-                    evidence = cells[grams].mean(0) * min(MOST_EVIDENCE, len(grams) / 3)
+                    evidence = mean_rows(cells, grams) * WEIGHT * len(grams) ** 0.5
                     evidence -= evidence.max()
                 post = np.exp(evidence)
                 for column, value in zip(out, (page_id, *host_levels(url), declared_language(page), len(grams), evidence.tolist(), (post / post.sum()).tolist())):
