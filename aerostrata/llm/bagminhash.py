@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Words, blocks, bounded, components, ensure_path, mix64, release_memory, staged, unstage, windows
+from .common import PUNCTUATION, Words, begin_task, blocks, bounded, components, ensure_path, mix64, release_memory, staged, unstage, windows
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS, M = 42, 6, 256
@@ -148,6 +148,7 @@ _SIGNED = "doc_id long, k1 long, k2 long, bands array<long>, signature binary"
 
 def _sign_task(with_bands: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         seen: set[int] = set()
         for batch in batches:
             for part in blocks(batch):
@@ -171,6 +172,7 @@ def _sign_task(with_bands: bool):
                         rows[i], signed[i] = got[j], byte[j].tobytes()
                 cols = [part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(rows, pa.list_(pa.int64())), pa.array(signed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "bands", "signature"])
+        seen.clear()
         release_memory()
 
     return run
@@ -191,6 +193,7 @@ def overlap(a: list[bytes | None], b: list[bytes | None], width: int = WIDTH) ->
 
 
 def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin_task()
     for batch in batches:
         for part in blocks(batch, "text_a", rows=500):
             for some in blocks(part, "text_b"):
@@ -293,7 +296,11 @@ def _tiled(rows: DataFrame, most: int | None) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, class_id, n_links) for every row of docs: the least id of its class, and its vertex's verified links."""
+    """Rows (doc_id, class_id) for every row of docs: the least id of its class.
+
+    Enough links are verified to join each class and to part it from all others;
+    links within a class that are not needed for that are not looked for.
+    """
     spark = docs.sparkSession
     ensure_path(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -326,11 +333,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
         tried = staged(tried.unionByName(verify(docs, more)), "near-tried")
         classes = staged(components(tried.where(F.col("likeness") >= SIMILARITY), "near-components"), "near-classes")
 
-    links = tried.where(F.col("likeness") >= SIMILARITY).select("a", "b").distinct()
-    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
-    known = vertex.select("k1", "k2", "id").join(classes, "id", "left").join(ends, "id", "left")
-    known = known.select("k1", "k2", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    return rows.select("doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
+    known = vertex.join(classes, "id", "left").select("k1", "k2", F.coalesce("class_id", "id").alias("class_id"))
+    return rows.select("doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
