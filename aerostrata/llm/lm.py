@@ -14,14 +14,16 @@ Counts are exact, over every word of every document: nothing is pruned.  The
 vocabulary and its words' counts are sorted arrays that grow with the corpus and
 are broadcast (24 bytes a word).  The most frequent pairs of words (at most
 ``HOT``) are counted apart and broadcast, which keeps any one of them from
-filling a task.  All other pairs, summed within each document, are shuffled once
-by pair; there they are counted, and their losses go back to the documents.
-Losses are summed as whole multiples of 1 / ``UNIT``, so equal texts get equal
-sums in any order.
+filling a task.  All other pairs, summed within each document, are dealt once to
+parts by a hash of the pair; there they are counted, and their losses go back to
+the documents.  Both ways they travel as packed arrays of a chunk of documents
+(about ``HELD`` tokens), some bytes a pair.  Losses are summed as whole multiples
+of 1 / ``UNIT``, so equal texts get equal sums in any order.
 
 Defined results: null and empty texts have no tokens and losses and score 0;
 documents without a label count for the background alone, and where no document
-is labelled good the two models are one and scores are 0; repeated rows count
+is labelled good the two models are one and scores are 0; a very long text is
+counted whole, as a block of its own; repeated rows count
 and are scored each; an empty table gives no rows; other columns are ignored.
 """
 
@@ -32,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, bounded, ensure_path, staged, unstage
+from .common import Words, begin_task, blocks, bounded, ensure_path, mix64, release_memory, staged, unstage
 
 LEAST, MU = 2, 4.0
 #: Lists of at most so many labelled ids are broadcast.
@@ -165,56 +167,163 @@ class Models:
         return out
 
 
-def _loss_task(models):
-    """Losses of counted pairs; documents' own rows stay as they are."""
-    names = ["row", "doc_id", "n_tokens", "target", "background"]
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: small ones leave zeros in rows, which a shuffle's compression takes away."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _from_planes(raw: memoryview, n: int, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size).reshape(size, n).T).view(kind).reshape(n)
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Arrays in one piece of bytes: for each its length and kind, then its planes."""
+    head = np.array([x for c in columns for x in (len(c), c.dtype.itemsize)], np.int64)
+    return np.int64(len(columns)).tobytes() + head.tobytes() + b"".join(_planes(c) for c in columns)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    view = memoryview(data)
+    n = int(np.frombuffer(view, np.int64, 1)[0])
+    head = np.frombuffer(view, np.int64, 2 * n, 8)
+    at, out = 8 + 16 * n, []
+    for size, width in zip(head[0::2].tolist(), head[1::2].tolist()):
+        out.append(_from_planes(view[at:], size, f"i{width}"))
+        at += size * width
+    return out
+
+
+_SENT = "part int, chunk long, data binary, doc_id array<long>, n_tokens array<long>, target array<long>, background array<long>"
+_NAMES = ["part", "chunk", "data", "doc_id", "n_tokens", "target", "background"]
+
+
+def _rows(part: list, chunk: list, data: list, doc_id=None, n_tokens=None, target=None, background=None) -> pa.RecordBatch:
+    longs = pa.list_(pa.int64())
+    lists = [pa.array([x] if x is not None else [None] * len(part), longs) for x in (doc_id, n_tokens, target, background)]
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(chunk, pa.int64()), pa.array(data, pa.binary()), *lists], _NAMES)
+
+
+def _send_task(shared, parts: int):
+    """Of each chunk of documents a row with their ids, tokens and losses of frequent pairs, and for each part that pairs are dealt to one with its pairs, packed."""
+
+    def sent(chunk: int, held: list) -> Iterator[pa.RecordBatch]:
+        _, hot, target, background = shared.value
+        ids = [i for x in held for i in x[0]]
+        counts, key = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
+        good = np.concatenate([x[3] for x in held])
+        owner = np.repeat(np.arange(len(ids)), counts)
+        distinct, back = np.unique(key, return_inverse=True)
+        at, there = places(distinct, hot)
+        ends, sums = np.append(0, np.cumsum(counts)), []
+        for losses in (target, background):
+            own = np.where(there, losses[at] if len(losses) else 0, 0)[back]
+            total = np.zeros(len(own) + 1, np.int64)
+            np.cumsum(own, out=total[1:])
+            sums.append(np.diff(total[ends]))
+        yield _rows([chunk % parts], [chunk], [None], ids, counts, *sums)
+        cold = np.flatnonzero(~there)
+        if not len(cold):
+            return
+        goes = (mix64(distinct[cold]) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(goes, kind="stable")
+        rank = np.full(len(distinct), -1)
+        rank[cold[order]] = np.arange(len(cold))
+        mine = rank[back]
+        entry, times = np.unique(mine[mine >= 0] * len(ids) + owner[mine >= 0], return_counts=True)
+        place, doc = entry // len(ids), (entry % len(ids)).astype(np.int32)
+        first = np.searchsorted(place, np.arange(len(cold) + 1))
+        n_docs = np.diff(first).astype(np.int32)
+        n_good = np.add.reduceat(times * good[doc], first[:-1]).astype(np.int32)
+        keys, to = distinct[cold[order]], goes[order]
+        cut = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
+        data = []
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            x, y = first[a], first[b]
+            data.append(pack(np.diff(keys[a:b], prepend=0), n_docs[a:b], n_good[a:b], doc[x:y], times[x:y].astype(np.int32)))
+        yield _rows(to[cut[:-1]].tolist(), [chunk] * len(data), data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        begin_task()
+        vocabulary = shared.value[0]
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            key, times, n, n_good = (batch.column(c).to_numpy() for c in ("key", "times", "n", "n_good"))
-            pair = np.maximum(key, 0)
-            sums = []
-            for losses, name in zip(models.value.losses(pair, (n_good, n)), names[3:]):
-                sums.append(pa.array(np.where(key < 0, pc.fill_null(batch.column(name), 0).to_numpy(), losses * times)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *sums], names)
+            for part in blocks(batch):
+                words = Words(part.column("text").cast(pa.binary()).to_pylist())
+                held.append((part.column("doc_id").to_pylist(), words.counts, pairs(words, vocabulary), np.asarray(part.column("good").to_pylist(), bool)))
+                size += len(held[-1][2]) + words.n
+                if size >= HELD:
+                    yield from sent(chunk, held)
+                    chunk, held, size = chunk + 1, [], 0
+        if held:
+            yield from sent(chunk, held)
+        held = []
+        release_memory()
 
     return run
 
 
-def _score_task(shared):
-    """A row for each document (key below 0, losses of its frequent pairs) and one for each of its other pairs."""
-    names = ["row", "key", "times", "good", "doc_id", "n_tokens", "target", "background"]
+def _loss_task(models, alone: bool):
+    """Counts of a part's pairs over all chunks; their losses, summed for each document, packed; other rows stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        vocabulary, hot, target, background = shared.value
-        row = TaskContext.get().partitionId() << 40
+        begin_task()
+        held = []
         for batch in batches:
-            for part in blocks(batch):
-                words = Words(part.column("text").cast(pa.binary()).to_pylist())
-                key, owner = pairs(words, vocabulary), words.owner()
-                distinct, back = np.unique(key, return_inverse=True)
-                at, there = places(distinct, hot)
-                sums = []
-                for losses in (target, background):
-                    own = np.where(there, losses[at] if len(losses) else 0, 0)[back]
-                    total = np.zeros(len(own) + 1, np.int64)
-                    np.cumsum(own, out=total[1:])
-                    sums.append(np.diff(total[words.doc]))
-                rows = row + np.arange(words.n)
-                good = np.asarray(part.column("good").to_pylist(), bool)
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(-1 - rows), pa.array(np.ones(words.n, np.int64)), pa.array(good), part.column("doc_id"), pa.array(words.counts), *map(pa.array, sums)], names)
-                cold = ~there[back]
-                if cold.any():
-                    mine, times = np.unique(owner[cold] * len(distinct) + back[cold], return_counts=True)
-                    n, own = len(mine), mine // len(distinct)
-                    yield pa.RecordBatch.from_arrays([pa.array(row + own), pa.array(distinct[mine % len(distinct)]), pa.array(times), pa.array(good[own]), *[pa.nulls(n, pa.int64())] * 4], names)
-                row += words.n
+            data = batch.column("data")
+            plain = batch.filter(pc.is_null(data))
+            if len(plain):
+                yield plain
+            some = batch.filter(pc.is_valid(data))
+            for chunk, raw in zip(some.column("chunk").to_pylist(), some.column("data").to_pylist()):
+                key, n_docs, n_good, doc, times = unpack(raw)
+                held.append((chunk, np.cumsum(key), n_docs, n_good, doc, times))
+        if held:
+            distinct, back = np.unique(np.concatenate([x[1] for x in held]), return_inverse=True)
+            n, n_good, at = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64), 0
+            for _, key, n_docs, some, _, times in held:
+                mine = back[at : at + len(key)]
+                at += len(key)
+                n[mine] += np.add.reduceat(times, np.cumsum(n_docs) - n_docs)
+                n_good[mine] += some
+            losses, at = models.value.losses(distinct, (n if alone else n_good, n)), 0
+            for chunk, key, n_docs, _, doc, times in held:
+                mine = np.repeat(back[at : at + len(key)], n_docs)
+                at += len(key)
+                order = np.argsort(doc, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(doc[order]) != 0))
+                sums = [np.add.reduceat((x[mine] * times)[order], first) for x in losses]
+                yield _rows([None], [chunk], [pack(doc[order][first], *sums)])
+        held = []
+        release_memory()
 
     return run
 
 
+def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by chunk, its documents' row first: a row for each document with its whole losses."""
+
+    def summed(row: dict, sums: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(row["doc_id"], pa.int64()), pa.array(row["n_tokens"], pa.int64()), *map(pa.array, sums)], ["doc_id", "n_tokens", "target", "background"])
+
+    now, row, sums = None, None, []
+    for batch in batches:
+        for i, (chunk, raw) in enumerate(zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist())):
+            if raw is None:
+                if now is not None:
+                    yield summed(row, sums)
+                now, row = chunk, batch.slice(i, 1).to_pylist()[0]
+                sums = [np.array(row[c], np.int64) for c in ("target", "background")]
+            else:
+                doc, *more = unpack(raw)
+                for total, x in zip(sums, more):
+                    total[doc] += x
+    if now is not None:
+        yield summed(row, sums)
+
+
 def _least_hot(counted: DataFrame) -> int:
     """The least count from which on there are at most HOT pairs."""
     told = counted.groupBy(F.least("n", F.lit(MOST_TOLD)).alias("n")).agg(F.count(F.lit(1)).alias("pairs"))
@@ -257,12 +366,10 @@ def score(docs: DataFrame, good_ids: DataFrame) -> DataFrame:
     known, models, alone, hot, counts = train(marked.select("text", "good"))
     losses = models.losses(hot, counts)
     shared, models = spark.sparkContext.broadcast((known.value, hot, *losses)), spark.sparkContext.broadcast(models)
-    parts = marked.mapInArrow(_score_task(shared), "row long, key long, times long, good boolean, doc_id long, n_tokens long, target long, background long")
-    same = Window.partitionBy("key")
-    n = F.sum("times").over(same)
-    counted = parts.select("*", n.alias("n"), n.alias("n_good") if alone else F.sum(F.when(F.col("good"), F.col("times")).otherwise(0)).over(same).alias("n_good")).drop("good")
-    sums = counted.mapInArrow(_loss_task(models), "row long, doc_id long, n_tokens long, target long, background long")
-    sums = sums.groupBy("row").agg(*[F.max(c).alias(c) for c in ("doc_id", "n_tokens")], *[F.sum(c).alias(c) for c in ("target", "background")])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = marked.mapInArrow(_send_task(shared, parts), _SENT)
+    counted = sent.repartition(parts, "part").mapInArrow(_loss_task(models, alone), _SENT)
+    sums = counted.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("data").isNotNull()).mapInArrow(_sum_task, "doc_id long, n_tokens long, target long, background long")
     n, t, b = F.greatest("n_tokens", F.lit(1)) * UNIT, F.col("target"), F.col("background")
     return sums.select("doc_id", "n_tokens", (t / n).alias("target_loss"), (b / n).alias("background_loss"), ((t - b) / n).alias("score"))
 
