@@ -241,27 +241,42 @@ def crc_mod(column: str, m: int) -> Column:
 
 
 
+#: Up to so many edges, each vertex's least neighbour is broadcast.
+FEW_EDGES = 250_000
+
+
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of edges (a, b): rows (id, class_id), class_id the least id of each.
 
     Alternates Kiveris et al.'s large-star and small-star steps.  Every step is a
-    min() with partial aggregation and a join on the same key, so one vertex
-    with very many neighbours is never gathered into a list; rounds are staged
-    in the shared folder.
+    min() with partial aggregation and a join with its result, which is broadcast
+    where edges are counted to be at most ``FEW_EDGES`` and written to the shared
+    folder beyond, so that Spark can split the rows of a vertex with very many
+    neighbours; none is gathered into a list.  Rounds are staged in the shared
+    folder.
     """
     now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
-    before = None
+    n, before, written = now.count(), None, []
+
+    def joined(least: DataFrame) -> DataFrame:
+        if n <= FEW_EDGES:
+            return F.broadcast(least)
+        written.append(staged(least, name))
+        return written[-1]
+
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(joined(least), "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = joined(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         nxt = staged(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
         unstage(now)
-        state = tuple(nxt.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+        while written:
+            unstage(written.pop())
+        state = tuple(nxt.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
         now = nxt
         if state == before:
             return now.select(F.col("u").alias("id"), F.col("v").alias("class_id"))
-        before = state
+        before, n = state, state[0]
