@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes eac
 one's rows as Parquet in the shared folder and reads them as the next one's docs.
 All stages but the last keep the columns of documents; the mix's rows are the
 blocks it takes, with ids in the order of output shards.
+
+Defined results: a null text counts as empty in every stage (it is scored, is alike
+to other wordless ones, holds no test item, has no words to mix); rows without id
+or with equal ids are documents like others, of which near-dedup keeps one for
+each class, an id once; ties go to the least id; very long texts are handled whole;
+an empty table gives no rows; extra columns are kept by the first three stages and
+dropped by the mix, whose blocks are no documents.
 """
 
 from __future__ import annotations
