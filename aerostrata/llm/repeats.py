@@ -4,27 +4,31 @@ A window is ``WINDOW`` consecutive words of one document.  Each word covered by
 a window whose word sequence also starts in a document with a smaller doc_id is
 removed; windows are judged on the input.
 
-1. One pass over all texts takes from every window the ``PHRASE``-word phrase of
-   least hash (winnowing): two equal windows have the same one.  It also takes a
-   key of the whole word sequence; a document equal to one of smaller id needs
-   no further look, all its windows recur.
-2. Phrases that occur in documents of different ids recur; a document without
-   such a phrase has no recurring window.
-3. The other documents are streamed in blocks.  Each block's recurring phrases
-   are compiled to an Aho-Corasick automaton over word codes (a word is one code
-   point, from its hash), which bounds an automaton by its block; running it over
-   the block's documents locates every occurrence, which the phrase's full hash
-   confirms.  Windows whose phrase is located are candidates.
-4. Candidate windows are confirmed by a 96-bit hash of their words: the least
-   doc_id of each is an aggregate with map-side combine, then candidates are
-   joined to it (a hot passage is a skewed join key, which Spark splits).
+1. One pass over all texts writes each as a stream of word codes (a byte of each
+   word's hash) and picks from every window the ``PHRASE``-word phrase of least
+   hash (winnowing): two equal windows have the same one.  It also takes a key of
+   the whole word sequence; a document equal to one of smaller id needs no
+   further look, all its windows recur.
+2. Picked phrases (as codes) are confirmed to recur: documents of different ids
+   pick them, a grouped aggregate with map-side combine.
+3. The recurring phrases are dealt by hash to shards of about ``SHARD_PHRASES``,
+   each compiled to an Aho-Corasick automaton, which bounds a worker's memory.
+   Every document's stream (of each different text) runs through every shard's
+   automaton; the hits alone say where phrases occur.  So the streams, a byte a
+   word, are read once for each shard.
+4. Windows whose least phrase was hit are candidates, confirmed by a 96-bit hash
+   of their words: the least doc_id of each is an aggregate with map-side
+   combine, written out and then joined, so that Spark can split a hot passage.
 5. Confirmed windows mark words; what is left is hashed.
 
+Codes may agree where words differ; that costs a candidate, no word.
+
 Defined results: null and empty texts have no words (and the digest of the empty
-string); a null doc_id is smaller than none and none is smaller than it, so its
-row keeps its words and costs no other row any; rows that share a doc_id are
-judged each by itself and do not remove one another's words; an empty table
-gives no rows; other columns are ignored.
+string); very long texts are handled whole, each as a block of its own; a null
+doc_id is smaller than none and none is smaller than it, so its row keeps its
+words and costs no other row any; rows that share a doc_id are judged each by
+itself and do not remove one another's words; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,38 +42,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import ID_ROWS
-from .common import Words, blocks, bounded, ensure_path, mix64, staged, windows
+from .common import Words, begin_task, blocks, bounded, ensure_path, mix64, release_memory, staged, unstage, windows
 
 WINDOW, PHRASE = 50, 8
-#: Text that one automaton serves.
-SHARD_BYTES = 4 << 20
+#: Phrases that one automaton holds, about; some 60 MB.
+SHARD_PHRASES = 1 << 17
 
 _NO_WORDS = hashlib.sha256(b"").hexdigest()
 
 
-def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
-    """Least of each run of width values."""
-    done, out = 1, x
+def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first least value in each run of width values."""
+    done, at = 1, np.arange(len(x))
     while done < width:
         step = min(done, width - done)
-        out = np.minimum(out[:-step], out[step:])
+        a, b = at[:-step], at[step:]
+        at = np.where(x[b] < x[a], b, a)
         done += step
-    return out
+    return at
 
 
-def window_phrases(phrases: np.ndarray, first: np.ndarray, doc: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray]:
-    """The least phrase hash within each window, and each window's first word."""
+def least_phrases(phrases: np.ndarray, first: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window, the place of its least phrase among the phrases, and its first word."""
     counts = np.diff(doc)
     room = np.maximum(counts - (window - 1), 0)
     if not room.sum():
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    per_doc = np.maximum(counts - (phrase - 1), 0)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    per_doc = np.maximum(counts - (PHRASE - 1), 0)
     begin = np.cumsum(per_doc) - per_doc  # of each document's phrases
-    least = sliding_min(phrases, window - phrase + 1)
+    least = sliding_argmin(phrases, window - PHRASE + 1)
     at = np.repeat(begin, room) + (np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room))
     return least[at], first[at]
 
 
+def word_codes(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(56)).astype(np.uint8)
+
+
+def phrase_codes(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The codes of the PHRASE words from each place on, as one number."""
+    out = np.zeros(len(first), np.uint64)
+    for j in range(PHRASE):
+        out |= codes[first + j].astype(np.uint64) << np.uint64(8 * j)
+    return out.view(np.int64)
+
+
 def sequence_keys(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each document's words."""
     counts = np.diff(doc)
@@ -85,71 +102,139 @@ def sequence_keys(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
-def _scan_task(window: int, phrase: int):
+_SCANNED = "doc_id long, n_words long, digest binary, k1 long, k2 long, codes binary, picks array<long>"
+
+
+def _scan_task(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             for part in blocks(batch):
                 raw = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
                 words = Words(raw)
                 h = words.hashes()
                 k1, k2 = sequence_keys(h, words.doc)
-                least, at = window_phrases(*windows(h, words.doc, phrase), words.doc, window, phrase)
-                owner = np.searchsorted(words.doc, at, side="right") - 1
-                new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]))) if len(least) else np.empty(0, np.int64)
-                ends = np.searchsorted(owner[new], np.arange(len(raw) + 1))
-                picked = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(least[new].view(np.int64)))
+                codes = word_codes(h)
+                phrases, first = windows(h, words.doc, PHRASE)
+                place, _ = least_phrases(phrases, first, words.doc, window)
+                new = place[np.append(True, place[1:] != place[:-1])] if len(place) else place
+                ends = np.searchsorted(np.searchsorted(words.doc, first[new], side="right") - 1, np.arange(len(raw) + 1))
+                picks = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(phrase_codes(codes, first[new])))
+                flat = codes.tobytes()
+                streams = [flat[a:b] for a, b in zip(words.doc[:-1].tolist(), words.doc[1:].tolist())]
                 # bytes.split() cuts at the same six characters
-                digests = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in raw]
-                cols = [part.column("doc_id"), pa.array(words.counts), pa.array(digests), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), picked]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "digest", "k1", "k2", "phrases"])
+                digests = [hashlib.sha256(b" ".join(t.split())).digest() for t in raw]
+                cols = [part.column("doc_id"), pa.array(words.counts), pa.array(digests, pa.binary()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(streams, pa.binary()), picks]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "digest", "k1", "k2", "codes", "picks"])
+        release_memory()
 
     return run
 
 
-def locate(words: Words, h: np.ndarray, phrases: np.ndarray, first: np.ndarray, recurring: np.ndarray, phrase: int) -> np.ndarray:
-    """For each phrase of a block, whether an automaton of the recurring ones finds it there."""
+def automaton(phrases: list[bytes]):
+    """An Aho-Corasick automaton of phrases of word codes; None of none."""
     import ahocorasick
 
-    found = np.zeros(len(phrases), bool)
-    wanted = np.flatnonzero(np.isin(phrases, recurring))
-    if not len(wanted):
-        return found
-    codes = ((h >> np.uint64(44)).astype(np.uint32) + np.uint32(0x10000)).tobytes().decode("utf-32-le")
-    machine = ahocorasick.Automaton()
-    for at in first[wanted[np.unique(phrases[wanted], return_index=True)[1]]].tolist():
-        machine.add_word(codes[at : at + phrase], phrase)
+    machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for p in phrases:
+        machine.add_word(p.decode("latin-1"), 1)
+    if not len(machine):
+        return None
     machine.make_automaton()
-    counts = words.counts
-    per_doc = np.maximum(counts - (phrase - 1), 0)
-    begin = (np.cumsum(per_doc) - per_doc).tolist()
-    hits = []
-    for d, (a, b) in enumerate(zip(words.doc[:-1].tolist(), words.doc[1:].tolist())):
-        if b - a >= phrase:
-            hits += [begin[d] + end - phrase + 1 for end, _ in machine.iter(codes[a:b])]
-    at = np.array(hits, np.int64)
-    found[at[np.isin(phrases[at], recurring)]] = True
-    return found
-
-
-def _locate_task(window: int, phrase: int):
+    return machine
+
+
+def occurrences(machine, codes: bytes) -> list[int]:
+    """Where the automaton's phrases begin in a stream."""
+    if machine is None or len(codes) < PHRASE:
+        return []
+    return [end - PHRASE + 1 for end, _ in machine.iter(codes.decode("latin-1"))]
+
+
+def _pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shard, phrase = batch.column("shard").to_numpy(), batch.column("phrase").to_numpy()
+        order = np.argsort(shard, kind="stable")
+        cut = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
+        packs = [phrase[x].tobytes() for x in np.split(order, cut[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(shard[order][cut]), pa.array(packs, pa.binary())], ["shard", "pack"])
+
+
+def _stream_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (shard, block, kind): a shard's phrases, then the streams of a block of documents."""
+    begin_task()
+    group, phrases, machine = None, [], None
+    for batch in batches:
+        ids, keys, hits = [], [], []
+        for shard, block, kind, doc_id, k1, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "kind", "doc_id", "k1", "data"))):
+            if (shard, block) != group:
+                group, phrases, machine = (shard, block), [], None
+            if kind == 0:
+                phrases += [data[i : i + PHRASE] for i in range(0, len(data), PHRASE)]
+                continue
+            if phrases:
+                machine, phrases = automaton(phrases), []
+            found = occurrences(machine, data)
+            if found:
+                ids.append(doc_id)
+                keys.append(k1)
+                hits.append(found)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "k1", "hits"])
+    machine = None
+    release_memory()
+
+
+def locate(streams: DataFrame, phrases: DataFrame, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
+    """Every occurrence of the phrases in the streams (doc_id, k1, codes): rows (doc_id, k1, hits), hits from 0 on."""
+    parts = int(streams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, -(-phrases.count() // shard_phrases))
+    n_blocks = max(1, -(-parts // shards))
+    packs = phrases.select(F.pmod(F.xxhash64("phrase"), F.lit(shards)).alias("shard"), "phrase").mapInArrow(_pack_task, "shard long, pack binary")
+    none = F.lit(None).cast("long")
+    packs = packs.select("shard", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(0).alias("kind"), none.alias("doc_id"), none.alias("k1"), F.col("pack").alias("data"))
+    block = F.pmod(F.xxhash64("k1", "doc_id"), F.lit(n_blocks)).cast("int")
+    each = streams.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), block.alias("block"), F.lit(1).alias("kind"), "doc_id", "k1", F.col("codes").alias("data"))
+    rows = packs.unionByName(each).repartition(max(parts, shards * n_blocks), "shard", "block").sortWithinPartitions("shard", "block", "kind")
+    return rows.mapInArrow(_stream_task, "doc_id long, k1 long, hits array<int>")
+
+
+def _key_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in blocks(batch):
+            words = Words(part.column("text").cast(pa.binary()).to_pylist())
+            k1, _ = sequence_keys(words.hashes(), words.doc)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(k1.view(np.int64))], [*part.schema.names, "k1"])
+
+
+def candidate_windows(words: Words, h: np.ndarray, hits: list, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (by number, and by first word) of a block whose least phrase is among the hits of its document."""
+    phrases, first = windows(h, words.doc, PHRASE)
+    place, at = least_phrases(phrases, first, words.doc, window)
+    per_doc = np.maximum(words.counts - (PHRASE - 1), 0)
+    begin = np.cumsum(per_doc) - per_doc
+    hit = np.zeros(len(phrases) + 1, bool)
+    for b, x in zip(begin.tolist(), hits):
+        hit[b + np.asarray(x, np.int64)] = True
+    some = np.flatnonzero(hit[place])
+    return some, at[some]
+
+
+def _window_task(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
-            for part in blocks(batch, limit=SHARD_BYTES):
+            for part in blocks(batch):
                 words = Words(part.column("text").cast(pa.binary()).to_pylist())
                 h = words.hashes()
-                recurring = np.unique(np.concatenate([np.asarray(x or [], np.int64) for x in part.column("recurring").to_pylist()])).view(np.uint64)
-                phrases, first = windows(h, words.doc, phrase)
-                found = locate(words, h, phrases, first, recurring, phrase)
-                marked = phrases[found]
-                least, at = window_phrases(phrases, first, words.doc, window, phrase)
-                some = np.flatnonzero(np.isin(least, np.unique(marked)))
+                some, at = candidate_windows(words, h, part.column("hits").to_pylist(), window)
                 w1, _ = windows(h, words.doc, window)
                 w2, _ = windows(h, words.doc, window, salt=3)
-                owner = np.searchsorted(words.doc, at[some], side="right") - 1
+                owner = np.searchsorted(words.doc, at, side="right") - 1
                 tag = (np.asarray(part.column("k1")) & 0x7FFFFFFF)[owner] << 32
                 ids = np.asarray(part.column("doc_id"))[owner]
-                cols = [pa.array(w1[some].view(np.int64)), pa.array((w2[some] >> np.uint64(33)).astype(np.int32)), pa.array(ids), pa.array(tag | (at[some] - words.doc[owner]))]
+                cols = [pa.array(w1[some].view(np.int64)), pa.array((w2[some] >> np.uint64(33)).astype(np.int32)), pa.array(ids), pa.array(tag | (at - words.doc[owner]))]
                 yield pa.RecordBatch.from_arrays(cols, ["w1", "w2", "doc_id", "spot"])
+        release_memory()
 
     return run
 
@@ -171,42 +256,47 @@ def _remove_task(window: int):
                     n_removed.append(int(gone.sum()))
                     digests.append(hashlib.sha256(b" ".join([w for w, g in zip(own, gone.tolist()) if not g])).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), pa.array(n_removed, pa.int64()), pa.array(digests)], ["doc_id", "k1", "cut", "cut_digest"])
+        release_memory()
 
     return run
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """Rows (doc_id, n_words, n_removed, kept_sha256) for every row of docs."""
     ensure_path(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = staged(docs.mapInArrow(_scan_task(window, phrase), "doc_id long, n_words long, digest string, k1 long, k2 long, phrases array<long>"), "repeats-scan")
+    scanned = staged(docs.mapInArrow(_scan_task(window), _SCANNED), "repeats-scan")
     leader = scanned.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    leader = staged(leader, "repeats-leaders")
     rows = scanned.join(leader, ["k1", "k2"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
-    rows = staged(rows.drop("least"), "repeats-rows")
-
-    picked = rows.where("doc_id is not null and not copy").select("doc_id", F.explode(F.array_distinct("phrases")).alias("phrase"))
-    again = picked.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("phrase")
-    with_phrases = staged(picked.join(again, "phrase").groupBy("doc_id").agg(F.collect_list("phrase").alias("recurring")), "repeats-phrases")
-    # documents that may hold a recurring window, copies left out
-    ids = with_phrases.select("doc_id").join(rows.where("not copy").select("doc_id", "k1").distinct(), "doc_id")
-    ids = staged(ids, "repeats-ids")
-    texts = docs.join(bounded(ids.select("doc_id").distinct(), ID_ROWS), "doc_id", "left_semi").join(with_phrases, "doc_id")
-    texts = staged(texts.mapInArrow(_key_task, "doc_id long, text string, recurring array<long>, k1 long, k2 long"), "repeats-texts")
-
-    found = staged(texts.mapInArrow(_locate_task(window, phrase), "w1 long, w2 int, doc_id long, spot long"), "repeats-windows")
-    confirmed = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("w1", "w2", "a")
-    spots = found.join(confirmed, ["w1", "w2"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
+    rows = staged(rows.drop("least", "k2"), "repeats-rows")
+    unstage(scanned)
+    unstage(leader)
+
+    streams = rows.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull() & ~F.col("copy"))
+    picked = streams.select("doc_id", F.explode("picks").alias("phrase"))
+    again = staged(picked.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("phrase"), "repeats-phrases")
+    hits = staged(locate(streams.select("doc_id", "k1", "codes"), again, shard_phrases), "repeats-hits")
+    unstage(again)
+    ids = staged(hits.select("doc_id").distinct(), "repeats-ids")
+    texts = docs.join(bounded(ids, ID_ROWS), "doc_id", "left_semi").mapInArrow(_key_task, "doc_id long, text string, k1 long")
+    hits_of = hits.groupBy("doc_id", "k1").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    texts = staged(texts.join(hits_of, ["doc_id", "k1"]), "repeats-texts")
+    unstage(ids)
+    unstage(hits)
+
+    found = staged(texts.mapInArrow(_window_task(window), "w1 long, w2 int, doc_id long, spot long"), "repeats-windows")
+    confirmed = staged(found.groupBy("w1", "w2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("w1", "w2", "a"), "repeats-confirmed")
+    spots = staged(found.join(confirmed, ["w1", "w2"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_list("spot").alias("spots")), "repeats-spots")
+    unstage(found)
+    unstage(confirmed)
     cut = texts.select("doc_id", "text", "k1").join(spots, "doc_id").mapInArrow(_remove_task(window), "doc_id long, k1 long, cut long, cut_digest string").dropDuplicates(["doc_id", "k1"])
+    cut = staged(cut, "repeats-cut")
+    unstage(texts)
+    unstage(spots)
 
     out = rows.select("doc_id", "k1", "n_words", "digest", "copy").join(cut, ["doc_id", "k1"], "left")
     whole = F.col("copy") & (F.col("n_words") >= window)
     n_removed = F.when(whole, F.col("n_words")).otherwise(F.coalesce("cut", F.lit(0).cast("long")))
-    return out.select("doc_id", "n_words", n_removed.alias("n_removed"), F.when(whole, F.lit(_NO_WORDS)).otherwise(F.coalesce("cut_digest", "digest")).alias("kept_sha256"))
-
-
-def _key_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in blocks(batch):
-            words = Words(part.column("text").cast(pa.binary()).to_pylist())
-            k1, k2 = sequence_keys(words.hashes(), words.doc)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], [*part.schema.names, "k1", "k2"])
+    kept = F.when(whole, F.lit(_NO_WORDS)).otherwise(F.coalesce("cut_digest", F.lower(F.hex("digest"))))
+    return out.select("doc_id", "n_words", n_removed.alias("n_removed"), kept.alias("kept_sha256"))
