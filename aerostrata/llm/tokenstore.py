@@ -8,19 +8,24 @@ document's id stream where a rolling hash of its last ids says so, and writes
   32-bit ones);
 * ``recipes`` of kind 0: a row for each document in ascending doc_id order (null
   first; equal ids in an order of their own): its chunks' digests, its Merkle
-  root, its place in its part; kind 1: each part's totals and root;
-* ``manifest``: the root over all parts, and the format's facts.
-
-``read_documents`` reads those files back, checks every chunk against its
-digest and every document against its root, and derives counts and checksums
-from the chunks; ``read_ids`` rebuilds the ids themselves.
+  root, its place in its part; kind 1: totals and root of each block of
+  ``BLOCK_DOCS`` documents in a row; kind 2: those of each part, over its blocks;
+* ``manifest``: the root over all parts, totals, and the format's facts.
+
+``read_documents`` and ``read_ids`` check the files before they read them
+(``verify``): every block against its documents, every part against its blocks
+and the manifest against the parts, in roots, counts and places, so that a recipe
+that is lost, repeated or moved is an error.  ``read_documents`` then checks every
+chunk against its digest and every document against its root and count, and
+derives counts and checksums from the chunks; ``read_ids`` rebuilds the ids
+themselves.  A chunk that is lost is an error in both.
 
 Chunks are made distinct within a task before they are shuffled, so that a
 group of copies, however large, sends a chunk once from each task.  One shuffle
 moves the chunks; the recipes and checksums that follow are narrow.
 
-Defined results: a null text counts as empty and has the end id alone; repeated
-rows are documents like others; an empty table gives no rows and an empty
+Defined results: a null text counts as empty and has the end id alone; a very long
+text is encoded whole, as a block of its own; repeated rows are documents like others; an empty table gives no rows and an empty
 store; other columns are ignored.
 """
 
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,12 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, ensure_path, mix64, release_memory
+from .common import Powers, Words, begin_task, blocks, ensure_path, mix64, release_memory, resident
 
 END_ID = 0
 #: Shortest, mean (a power of two) and longest chunk, in ids; the rolling hash's window.
 MIN_IDS, MEAN_IDS, MAX_IDS, WINDOW = 64, 256, 1024, 16
 DIGEST = 16
+#: Documents under one inner node of a part's tree.
+BLOCK_DOCS = 4096
 #: A worker remembers the ids of 0.6 * 2 ** TABLE_BITS distinct pieces, and the digests of so many chunks that it has sent.
 TABLE_BITS = 21
 CACHE = 250_000
@@ -50,7 +58,7 @@ CACHE = 250_000
 GROUP = 200
 
 _OBJECT = "kind int, key binary, payload binary, rid long, doc_id long, n_tokens long, chunks array<binary>"
-_RECIPE = "kind int, part int, idx long, doc_id long, in_part long, n_tokens long, n_docs long, chunks array<binary>, root binary"
+_RECIPE = "kind int, part int, block long, idx long, doc_id long, in_part long, n_tokens long, n_docs long, chunks array<binary>, root binary"
 
 
 def default_tokenizer() -> str:
@@ -71,6 +79,7 @@ class Encoder:
     """
 
     def __init__(self, spec: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks take the cores
         from tokenizers import Tokenizer
 
         facts = json.loads(spec)
@@ -197,18 +206,12 @@ def _touching(words: Words) -> np.ndarray:
     return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(spec: str) -> Encoder:
-    key = hashlib.sha256(spec.encode()).hexdigest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(spec)
-    return _encoders[key]
+    """This worker's encoder, kept from task to task of the stage that encodes."""
+    return resident("encoder", hashlib.sha256(spec.encode()).hexdigest(), lambda: Encoder(spec))
 
 
-_MULT = 0x9E3779B97F4A7C15
+_rolling = Powers(0x9E3779B97F4A7C15)
 _gear = mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
@@ -220,10 +223,10 @@ def cut_points(ids: np.ndarray, doc_end: np.ndarray) -> list[list[int]]:
     """
     if not len(ids):
         return []
-    value = np.zeros(len(ids), np.uint64)
-    coded = _gear[ids & 0xFFFF]
-    for j in range(min(WINDOW, len(ids))):
-        value[j:] += coded[: len(ids) - j] * np.uint64(pow(_MULT, j, 1 << 64))
+    up, down = _rolling.upto(len(ids))
+    total = np.cumsum(_gear[ids & 0xFFFF] * down)
+    total[WINDOW:] -= total[:-WINDOW].copy()
+    value = total * up
     marks = (np.flatnonzero((value >> np.uint64(33)) % np.uint64(MEAN_IDS - MIN_IDS) == 0) + 1).tolist()
     out, at, m = [], 0, 0
     for end in doc_end.tolist():
@@ -257,6 +260,7 @@ def _encode_task(spec: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        begin_task("encoder")
         enc = encoder(spec)
         end = np.array([end_id], enc.dtype).tobytes()
         width = len(end)
@@ -293,26 +297,48 @@ def _encode_task(spec: str, end_id: int):
     return run
 
 
-def _recipe_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+_RECIPE_SCHEMA = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("idx", pa.int64()), ("doc_id", pa.int64()), ("in_part", pa.int64()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("chunks", pa.list_(pa.binary())), ("root", pa.binary())])
 
-    part, idx, before, roots = TaskContext.get().partitionId(), 0, 0, []
-    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("idx", pa.int64()), ("doc_id", pa.int64()), ("in_part", pa.int64()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("chunks", pa.list_(pa.binary())), ("root", pa.binary())])
-    for batch in batches:
-        n = np.array(batch.column("n_tokens").to_pylist(), np.int64)
-        chunks = batch.column("chunks").to_pylist()
-        own = [merkle_root(c) for c in chunks]
-        roots += own
-        place = before + np.cumsum(n) - n
-        before += int(n.sum())
-        cols = [[0] * len(n), [part] * len(n), range(idx, idx + len(n)), batch.column("doc_id").to_pylist(), place, n, [1] * len(n), chunks, own]
-        idx += len(n)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-    if idx:
-        yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip([1, part, None, None, None, before, idx, None, merkle_root(roots)], schema)], schema=schema)
-
-
-def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> dict:
+
+def _recipe_task(block_docs: int):
+    """A part's documents in order; after each block of them a row for it, and one for the part at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        begin_task()
+        part, idx, before, block_from, nodes, roots = TaskContext.get().partitionId(), 0, 0, 0, [], []
+        rows = lambda cols: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _RECIPE_SCHEMA)], schema=_RECIPE_SCHEMA)
+        close = lambda: rows([[x] for x in (1, part, len(nodes), None, None, block_from, before - block_from, len(roots), None, merkle_root(roots))])
+        for batch in batches:
+            at = 0
+            while at < len(batch):
+                some = batch.slice(at, block_docs - len(roots))
+                at += len(some)
+                n = some.column("n_tokens").to_numpy()
+                chunks = some.column("chunks").to_pylist()
+                own = [merkle_root(c) for c in chunks]
+                roots += own
+                place = before + np.cumsum(n) - n
+                before += int(n.sum())
+                size = len(some)
+                yield rows([[0] * size, [part] * size, [len(nodes)] * size, range(idx, idx + size), some.column("doc_id").to_pylist(), place, n, [1] * size, chunks, own])
+                idx += size
+                if len(roots) == block_docs:
+                    yield close()
+                    nodes.append(merkle_root(roots))
+                    block_from, roots = before, []
+        if roots:
+            yield close()
+            nodes.append(merkle_root(roots))
+        if idx:
+            yield rows([[x] for x in (2, part, None, None, None, 0, before, idx, None, merkle_root(nodes))])
+        release_memory()
+
+    return run
+
+
+def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, block_docs: int = BLOCK_DOCS) -> dict:
     """Write docs (doc_id, text) as a store under path; returns the manifest."""
     spark = docs.sparkSession
     ensure_path(spark)
@@ -325,11 +351,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     rows.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"{path}/objects")
 
     recipes = spark.read.schema(_OBJECT).parquet(f"{path}/objects").where("kind = 1").select("doc_id", "rid", "n_tokens", "chunks")
-    recipes = recipes.repartitionByRange(parts, "doc_id", "rid").sortWithinPartitions("doc_id", "rid").mapInArrow(_recipe_task, _RECIPE)
+    recipes = recipes.repartitionByRange(parts, "doc_id", "rid").sortWithinPartitions("doc_id", "rid").mapInArrow(_recipe_task(block_docs), _RECIPE)
     recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
 
     # a row for each part, as many as shuffle partitions
-    totals = spark.read.schema(_RECIPE).parquet(f"{path}/recipes").where("kind = 1").orderBy("part").select("n_tokens", "n_docs", "root").collect()
+    totals = spark.read.schema(_RECIPE).parquet(f"{path}/recipes").where("kind = 2").orderBy("part").select("n_tokens", "n_docs", "root").collect()
     facts = {"n_docs": sum(r.n_docs for r in totals), "n_tokens": sum(r.n_tokens for r in totals), "dtype": Encoder(spec).dtype, "end_id": end_id, "tokenizer_sha256": hashlib.sha256(spec.encode()).hexdigest(), "root": merkle_root([bytes(r.root) for r in totals]).hex()}
     spark.createDataFrame([(json.dumps(facts),)], "facts string").coalesce(1).write.text(f"{path}/manifest")
     return facts
@@ -339,6 +365,48 @@ def manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(f"{path}/manifest").first()[0])
 
 
+def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is wrong with nodes of the tree, given what lies under them: rows (part, block, wrong)."""
+    for batch in batches:
+        out = []
+        for node in batch.to_pylist():
+            under = sorted(node["under"] or [], key=lambda x: x["place"])
+            wrong = None
+            if node["root"] is None or not under:
+                wrong = "has no row of its own" if under else "has nothing under it"
+            elif sum(x["n_docs"] for x in under) != node["n_docs"] or sum(x["n_tokens"] for x in under) != node["n_tokens"]:
+                wrong = "does not hold as many documents or ids as it should"
+            elif [x["place"] - under[0]["place"] for x in under] != list(range(len(under))) or node["block"] is None and under[0]["place"]:
+                wrong = "lacks a row or has one twice"
+            elif [x["in_part"] for x in under] != (node["in_part"] + np.cumsum([0] + [x["n_tokens"] for x in under[:-1]])).tolist():
+                wrong = "has rows out of their places"
+            elif merkle_root([x["root"] for x in under]) != node["root"]:
+                wrong = "does not match its Merkle root"
+            if wrong:
+                out.append((node["part"], node["block"], wrong))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate((pa.int32(), pa.int64(), pa.string()))], ["part", "block", "wrong"])
+
+
+def verify(spark: SparkSession, path: str) -> dict:
+    """Check recipes and manifest against each other; the manifest.  A node's children, BLOCK_DOCS documents or a part's blocks, are gathered at a time."""
+    ensure_path(spark)
+    facts, recipes = manifest(spark, path), spark.read.schema(_RECIPE).parquet(f"{path}/recipes").drop("chunks")
+    # a row for each part, as many as shuffle partitions
+    parts = recipes.where("kind = 2").select("part", "n_docs", "n_tokens", "root").orderBy("part").collect()
+    if sum(r.n_docs for r in parts) != facts["n_docs"] or sum(r.n_tokens for r in parts) != facts["n_tokens"] or merkle_root([bytes(r.root) for r in parts]).hex() != facts["root"]:
+        raise ValueError(f"{path}: the parts do not match the manifest")
+    wrong = None
+    for kind, key, place in ((1, ["part", "block"], "idx"), (2, ["part"], "block")):
+        under = recipes.where(F.col("kind") == kind - 1).groupBy(*key).agg(F.collect_list(F.struct(F.col(place).alias("place"), "in_part", "n_docs", "n_tokens", "root")).alias("under"))
+        own = recipes.where(F.col("kind") == kind).select(*key, "in_part", "n_docs", "n_tokens", "root")
+        nodes = own.join(under, key, "full").select("part", F.col("block") if kind == 1 else F.lit(None).cast("long").alias("block"), "in_part", "n_docs", "n_tokens", "root", "under")
+        found = nodes.mapInArrow(_verify_task, "part int, block long, wrong string")
+        wrong = found if wrong is None else wrong.unionByName(found)
+    for r in wrong.take(1):
+        raise ValueError(f"{path}: part {r.part}, block {r.block} of the recipes {r.wrong}")
+    return facts
+
+
 _POLY = 0xEDB88320
 
 
@@ -382,7 +450,7 @@ def _check_task(dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, crcs, sizes = [], [], []
-            for key, payload in zip(batch.column("key").to_pylist(), batch.column("payload").to_pylist()):
+            for key, payload in zip(batch.column("key").to_pylist(), batch.column("payload").to_pylist()):  # objects are a few KB
                 if digest(payload) != key:
                     raise ValueError(f"chunk {key.hex()} does not match its digest")
                 ids = np.frombuffer(payload, dtype)
@@ -397,19 +465,21 @@ def _check_task(dtype: str):
 def _join_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column("got").to_pylist()
-        for root, got in zip(batch.column("root").to_pylist(), rows):
-            if merkle_root([g["key"] for g in got]) != root:
-                raise ValueError("a document's chunks do not match its Merkle root")
         sizes = [[g["n"] for g in got] for got in rows]
+        for root, n, got, size in zip(batch.column("root").to_pylist(), batch.column("n_tokens").to_pylist(), rows, sizes):
+            if None in size:
+                raise ValueError("a document's chunk is missing")
+            if merkle_root([g["key"] for g in got]) != root or sum(size) != n:
+                raise ValueError("a document's chunks do not match its Merkle root or its number of ids")
         crc = join_crcs([[g["crc"] for g in got] for got in rows], [[4 * n for n in x] for x in sizes])
-        cols = [batch.column("part"), batch.column("idx"), batch.column("doc_id"), batch.column("in_part"), pa.array([sum(x) for x in sizes], pa.int64()), pa.array(crc.astype(np.int64)), pa.array([len(x) for x in sizes], pa.int32())]
+        cols = [batch.column("part"), batch.column("idx"), batch.column("doc_id"), batch.column("in_part"), batch.column("n_tokens"), pa.array(crc.astype(np.int64)), pa.array([len(x) for x in sizes], pa.int32())]
         yield pa.RecordBatch.from_arrays(cols, ["part", "idx", "doc_id", "in_part", "n_tokens", "ids_crc32", "n_chunks"])
 
 
 def _parts(spark: SparkSession, path: str) -> DataFrame:
     """Ids before each part: as many rows as parts."""
     rows, before = [], 0
-    for r in spark.read.schema(_RECIPE).parquet(f"{path}/recipes").where("kind = 1").select("part", "n_tokens").orderBy("part").collect():
+    for r in spark.read.schema(_RECIPE).parquet(f"{path}/recipes").where("kind = 2").select("part", "n_tokens").orderBy("part").collect():
         rows.append((r.part, before))
         before += r.n_tokens
     return F.broadcast(spark.createDataFrame(rows, "part int, base long"))
@@ -417,15 +487,15 @@ def _parts(spark: SparkSession, path: str) -> DataFrame:
 
 def _refs(spark: SparkSession, path: str) -> DataFrame:
     docs = spark.read.schema(_RECIPE).parquet(f"{path}/recipes").where("kind = 0")
-    return docs.select("part", "idx", "doc_id", "in_part", "root", F.posexplode("chunks").alias("pos", "key"))
+    return docs.select("part", "idx", "doc_id", "in_part", "n_tokens", "root", F.posexplode("chunks").alias("pos", "key"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """What the files hold of each document: doc_id, start, n_tokens, ids_crc32, n_chunks."""
-    ensure_path(spark)
+    facts = verify(spark, path)
     held = spark.read.schema(_OBJECT).parquet(f"{path}/objects").where("kind = 0").select("key", "payload")
-    held = held.mapInArrow(_check_task(manifest(spark, path)["dtype"]), "key binary, crc long, n long")
-    got = _refs(spark, path).join(held, "key").groupBy("part", "idx", "doc_id", "in_part", "root").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "crc", "n"))).alias("got"))
+    held = held.mapInArrow(_check_task(facts["dtype"]), "key binary, crc long, n long")
+    got = _refs(spark, path).join(held, "key", "left").groupBy("part", "idx", "doc_id", "in_part", "n_tokens", "root").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "crc", "n"))).alias("got"))
     docs = got.mapInArrow(_join_task, "part int, idx long, doc_id long, in_part long, n_tokens long, ids_crc32 long, n_chunks int")
     docs = docs.join(_parts(spark, path), "part")
     return docs.select("doc_id", (F.col("base") + F.col("in_part")).alias("start"), "n_tokens", "ids_crc32", "n_chunks")
@@ -433,10 +503,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """The documents' ids: doc_id, start, ids (little-endian, as stored)."""
-    ensure_path(spark)
+    verify(spark, path)
     held = spark.read.schema(_OBJECT).parquet(f"{path}/objects").where("kind = 0").select("key", "payload")
-    got = _refs(spark, path).join(held, "key").groupBy("part", "idx", "doc_id", "in_part").agg(F.array_sort(F.collect_list(F.struct("pos", "payload"))).alias("got"))
-    whole = F.aggregate("got", F.lit(b""), lambda acc, g: F.concat(acc, g["payload"]))
+    got = _refs(spark, path).join(held, "key", "left").groupBy("part", "idx", "doc_id", "in_part").agg(F.array_sort(F.collect_list(F.struct("pos", "payload"))).alias("got"))
+    whole = F.aggregate("got", F.lit(b""), lambda acc, g: F.concat(acc, F.coalesce(g["payload"], F.raise_error(F.lit("a document's chunk is missing")))))
     return got.join(_parts(spark, path), "part").select("doc_id", (F.col("base") + F.col("in_part")).alias("start"), whole.alias("ids"))
 
 

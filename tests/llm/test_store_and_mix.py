@@ -168,3 +168,49 @@ def test_words_and_windows():
     assert w.counts.tolist() == [3, 0, 0, 1, 4]
     h, first = windows(w.hashes(), w.doc, 2)
     assert first.tolist() == [0, 1, 4, 5, 6] and len({int(x) for x in h}) == 3
+
+
+def _moved(tmp_path, spark, path, part, change):
+    """Put a changed copy in the place of a store's objects or recipes."""
+    change(spark.read.parquet(f"{path}/{part}")).write.parquet(str(tmp_path / "bad"))
+    (tmp_path / "store" / part).rename(tmp_path / "old")
+    (tmp_path / "bad").rename(tmp_path / "store" / part)
+
+
+@pytest.mark.parametrize(
+    "part, change, said",
+    [
+        ("recipes", lambda r: r.where("kind <> 0 or idx <> 3"), "does not hold as many"),
+        ("recipes", lambda r: r.where("kind <> 0 or idx <> 3").unionByName(r.where("kind = 0 and idx = 4")), "Merkle|twice|places|as many"),
+        ("recipes", lambda r: r.where("kind <> 1 or block <> 1"), "no row of its own|as many"),
+        ("recipes", lambda r: r.where("kind <> 2 or part <> 1"), "do not match the manifest"),
+        ("recipes", lambda r: r.withColumn("n_tokens", F.when(F.expr("kind = 0 and idx = 2"), F.col("n_tokens") + 1).otherwise(F.col("n_tokens")))  , "as many"),
+        ("objects", lambda o: o.where("kind = 1").unionByName(o.where("kind = 0").orderBy("key").limit(5)), "chunk is missing"),
+    ],
+)
+def test_what_is_lost_is_found(spark, tmp_path, part, change, said):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    path = str(tmp_path / "store")
+    tokenstore.write_store(docs, path, block_docs=3)
+    whole = tokenstore.read_documents(spark, path).count()
+    assert whole == 60
+    _moved(tmp_path, spark, path, part, change)
+    with pytest.raises(Exception, match=said):
+        tokenstore.read_documents(spark, path).collect()
+
+
+def test_blocks_of_odd_rows(spark, odd, odd_rows):
+    """Whatever the order of rows, equal blocks; each word is in one block of each epoch."""
+    rows = mixing.mix_blocks(odd, block_words=16).collect()
+    again = mixing.mix_blocks(odd.repartition(5), block_words=16).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again)) and len({r.doc_id for r in rows}) == len(rows)
+    words = collections.Counter(w for r in odd_rows for w in re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+    taken = collections.Counter(w for r in rows for w in r.text.split(" "))
+    assert set(taken) <= set(words) and all(n <= 2 * words[w] for w, n in taken.items())
+
+
+def test_running_sums(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FAN", 4)
+    rows = [(k, i, (i * 7 + k) % 11) for k in range(3) for i in range(0, 50, k + 1)]
+    got = mixing.running(spark.createDataFrame(rows, "k int, at long, n long"), ["k"], "at", "n").collect()
+    assert {(r.k, r["at"]): r.before for r in got} == {(k, i): sum(n for a, j, n in rows if a == k and j < i) for k, i, _ in rows}
