@@ -317,7 +317,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     unstage(signed)
 
     first = held.join(in_bucket, "id").select("bucket", "n", "id", F.col("id").alias("c"), F.lit(True).alias("asks"), "signature", "bands")
-    tried = verify(docs, staged(_tiled(first, PARTNERS[0]), "near-pairs"))
+    named = staged(_tiled(first, PARTNERS[0]), "near-pairs")
+    tried = verify(docs, named)
+    unstage(named)
     classes = staged(components(tried.where(F.col("likeness") >= SIMILARITY), "near-components"), "near-classes")
     for most in (*PARTNERS[1:], None):
         own = held.where("n > 2").join(classes, "id", "left").select("bucket", "n", "id", F.coalesce("class_id", "id").alias("c"))
@@ -327,12 +329,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
         more = _tiled(open_.join(in_bucket, "id"), most).join(tried.select("a", "b"), ["a", "b"], "left_anti")
         more = staged(more, "near-pairs")
         if more.isEmpty():
-            if most is None:
-                break
+            unstage(more)
             continue
-        tried = staged(tried.unionByName(verify(docs, more)), "near-tried")
+        fresh, old = verify(docs, more), (tried, classes)
+        tried = staged(tried.unionByName(fresh), "near-tried")
         classes = staged(components(tried.where(F.col("likeness") >= SIMILARITY), "near-components"), "near-classes")
+        for table in (more, fresh, *old):
+            unstage(table)
 
+    for table in (held, in_bucket, tried):
+        unstage(table)
     known = vertex.join(classes, "id", "left").select("k1", "k2", F.coalesce("class_id", "id").alias("class_id"))
     return rows.select("doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id")
 
@@ -342,9 +348,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     ensure_path(docs.sparkSession)
     found = staged(near_classes(docs), "near-found")
     kept = staged(found.select(F.col("class_id").alias("kept_id")).where("kept_id is not null").distinct(), "near-kept")
+    n_ids = found.agg(F.count("doc_id"), F.countDistinct("doc_id"), F.count("*")).first()
+    unstage(found)
     kept = bounded(kept, ID_ROWS)
     out = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
-    n_ids = found.agg(F.count("doc_id"), F.countDistinct("doc_id"), F.count("*")).first()
     if n_ids[0] != n_ids[1]:
         out = out.dropDuplicates(["doc_id"])
     if n_ids[0] != n_ids[2]:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, unstage
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -81,6 +81,7 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
     near = hits.groupBy("doc_id", "item_key").agg(F.size(F.collect_set("h")).alias("hit"), F.first("need").alias("need")).where("hit >= need")
     near = staged(near.select(F.col("doc_id").alias("near_id"), "item_key"), "leaks-near")
 
+    unstage(sketch)
     found = docs.join(near.select("near_id").distinct(), F.col("doc_id").eqNullSafe(F.col("near_id")), "left_semi")
     found = found.select("doc_id", _words(F.col("text")).alias("words")).select("doc_id", _texts(width).alias("has"))
     asked = items.select("item_id", "item_key", _texts(width).alias("wants")).where("wants is not null")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin_task, blocks, bounded, ensure_path, staged
+from .common import begin_task, blocks, bounded, ensure_path, staged, unstage
 
 CELLS = 1 << 16
 WEIGHT = 2.0
@@ -166,6 +166,7 @@ def fuse(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     everywhere = suffixes.agg(_sums("of_suffix", n).alias("of_all"))
     levels = hosts.join(domains, ["suffix", "domain"]).join(suffixes, "suffix").crossJoin(F.broadcast(everywhere))  # one row
     levels = staged(levels.select("host", "of_host", "of_domain", "of_suffix", "of_all"), "langid-levels")
+    unstage(hosts)
     trust = staged(seen.where("declared is not null").groupBy("declared").agg(_sums("post", n).alias("of_declared")), "langid-declared")
     totals = seen.where("declared is not null").agg(_sums("post", n).alias("t")).first().t
     n_names = trust.count()
