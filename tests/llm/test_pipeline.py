@@ -41,3 +41,18 @@ def test_empty_documents(spark, tmp_path):
         stage(spark, docs, SF).write.parquet(str(tmp_path / str(i)))
         docs = spark.read.parquet(str(tmp_path / str(i)))
         assert docs.count() == 0
+
+
+def test_odd_documents(spark, odd, odd_rows, tmp_path):
+    """Nulls, repeats, ties, long texts and clashing columns through every stage."""
+    docs, kept = odd, []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+        kept.append(docs.collect())
+    texts = {r[1] for r in odd_rows}
+    assert all(r.text in texts for stage in kept[:3] for r in stage)
+    assert len(kept[0]) >= len(kept[1]) >= len(kept[2])
+    words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in kept[2])
+    assert sum(len(r.text.split()) for r in kept[3]) == pytest.approx(1.5 * words, rel=0.1, abs=2 * corpus_pipeline.BLOCK_WORDS)
+    assert len(kept[4]) == len(kept[3])
