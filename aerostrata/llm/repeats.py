@@ -42,11 +42,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import ID_ROWS
-from .common import Words, begin_task, blocks, bounded, ensure_path, mix64, release_memory, staged, unstage, windows
+from .common import Words, begin_task, blocks, bounded, ensure_path, mix64, release_memory, resident, staged, unstage, windows
 
 WINDOW, PHRASE = 50, 8
-#: Phrases that one automaton holds, about; some 60 MB.
-SHARD_PHRASES = 1 << 17
+#: Phrases that one automaton holds, about; some 200 MB.
+SHARD_PHRASES = 1 << 19
 
 _NO_WORDS = hashlib.sha256(b"").hexdigest()
 
@@ -131,13 +131,13 @@ def _scan_task(window: int):
     return run
 
 
-def automaton(phrases: list[bytes]):
-    """An Aho-Corasick automaton of phrases of word codes; None of none."""
+def automaton(phrases: bytes):
+    """An Aho-Corasick automaton of phrases of word codes, laid end to end; None of none."""
     import ahocorasick
 
-    machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for p in phrases:
-        machine.add_word(p.decode("latin-1"), 1)
+    machine, text = ahocorasick.Automaton(ahocorasick.STORE_INTS), phrases.decode("latin-1")
+    for i in range(0, len(text), PHRASE):
+        machine.add_word(text[i : i + PHRASE], 1)
     if not len(machine):
         return None
     machine.make_automaton()
@@ -161,8 +161,8 @@ def _pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stream_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shard, block, kind): a shard's phrases, then the streams of a block of documents."""
-    begin_task()
+    """Rows sorted by (shard, block, kind): a shard's phrases, then the streams of a block of documents.  A worker keeps the last automaton for its next block."""
+    begin_task("automaton")
     group, phrases, machine = None, [], None
     for batch in batches:
         ids, keys, hits = [], [], []
@@ -170,17 +170,17 @@ def _stream_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (shard, block) != group:
                 group, phrases, machine = (shard, block), [], None
             if kind == 0:
-                phrases += [data[i : i + PHRASE] for i in range(0, len(data), PHRASE)]
+                phrases.append(data)
                 continue
             if phrases:
-                machine, phrases = automaton(phrases), []
+                whole = b"".join(sorted(phrases))
+                machine, phrases = resident("automaton", hashlib.sha256(whole).hexdigest(), lambda: automaton(whole)), []
             found = occurrences(machine, data)
             if found:
                 ids.append(doc_id)
                 keys.append(k1)
                 hits.append(found)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "k1", "hits"])
-    machine = None
     release_memory()
 
 
@@ -268,10 +268,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, shard_phrases: int =
     scanned = staged(docs.mapInArrow(_scan_task(window), _SCANNED), "repeats-scan")
     leader = scanned.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     leader = staged(leader, "repeats-leaders")
-    rows = scanned.join(leader, ["k1", "k2"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
-    rows = staged(rows.drop("least", "k2"), "repeats-rows")
-    unstage(scanned)
-    unstage(leader)
+    few = leader.count() <= ID_ROWS
+    rows = scanned.join(F.broadcast(leader) if few else leader, ["k1", "k2"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
+    rows = rows.drop("least", "k2")
+    if not few:  # one shuffle, not one for each use
+        rows = staged(rows, "repeats-rows")
+        unstage(scanned)
 
     streams = rows.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull() & ~F.col("copy"))
     picked = streams.select("doc_id", F.explode("picks").alias("phrase"))
