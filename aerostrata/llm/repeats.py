@@ -11,11 +11,14 @@ removed; windows are judged on the input.
    further look, all its windows recur.
 2. Picked phrases (as codes) are confirmed to recur: documents of different ids
    pick them, a grouped aggregate with map-side combine.
-3. The recurring phrases are dealt by hash to shards of about ``SHARD_PHRASES``,
-   each compiled to an Aho-Corasick automaton, which bounds a worker's memory.
-   Every document's stream (of each different text) runs through every shard's
-   automaton; the hits alone say where phrases occur.  So the streams, a byte a
-   word, are read once for each shard.
+3. The recurring phrases are dealt to shards of at most about ``SHARD_PHRASES``,
+   each compiled to an Aho-Corasick automaton, which bounds a worker's memory.  A
+   phrase's shard follows from the ``GRAM`` of its codes that hash least, so every
+   place of every stream (of each different text) has one shard whose phrases may
+   begin there.  Streams are cut into runs of places of one shard and each run is
+   sent through that shard's automaton; the hits alone say where phrases occur.
+   Runs overlap by a phrase, so some four times the streams' bytes are read,
+   however many shards there are.
 4. Windows whose least phrase was hit are candidates, confirmed by a 96-bit hash
    of their words: the least doc_id of each is an aggregate with map-side
    combine, written out and then joined, so that Spark can split a hot passage.
@@ -42,10 +45,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import ID_ROWS
-from .common import Words, begin_task, blocks, bounded, ensure_path, mix64, release_memory, resident, staged, unstage, windows
+from .common import Words, begin_task, blocks, bounded, ensure_path, mix64, release_memory, staged, unstage, windows
 
 WINDOW, PHRASE = 50, 8
-#: Phrases that one automaton holds, about; some 200 MB.
+#: Codes of a phrase that choose its shard.
+GRAM = 4
+#: Phrases that one automaton holds at most, about; some 200 MB.
 SHARD_PHRASES = 1 << 19
 
 _NO_WORDS = hashlib.sha256(b"").hexdigest()
@@ -151,35 +156,117 @@ def occurrences(machine, codes: bytes) -> list[int]:
     return [end - PHRASE + 1 for end, _ in machine.iter(codes.decode("latin-1"))]
 
 
-def _pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        shard, phrase = batch.column("shard").to_numpy(), batch.column("phrase").to_numpy()
-        order = np.argsort(shard, kind="stable")
-        cut = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
-        packs = [phrase[x].tobytes() for x in np.split(order, cut[1:])]
-        yield pa.RecordBatch.from_arrays([pa.array(shard[order][cut]), pa.array(packs, pa.binary())], ["shard", "pack"])
+def shard_of(codes: np.ndarray, first: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of the phrase at each place: a hash of the GRAM codes in it that hash least, so neighbouring phrases often share theirs."""
+    if not len(first):
+        return np.empty(0, np.int64)
+    wide = np.zeros(len(codes) - GRAM + 1, np.uint64)
+    for j in range(GRAM):
+        wide |= codes[j : j + len(wide)].astype(np.uint64) << np.uint64(8 * j)
+    wide = mix64(wide)
+    least = wide[: len(codes) - PHRASE + 1].copy()
+    for j in range(1, PHRASE - GRAM + 1):
+        np.minimum(least, wide[j : j + len(least)], out=least)
+    return (mix64(least[first]) % np.uint64(shards)).astype(np.int64)
+
+
+def _planes(*columns: np.ndarray, dtype: str) -> bytes:
+    """Columns of numbers, the first bytes of all, then the second ones: those that are all zero shrink to nothing in a shuffle."""
+    return np.stack(columns).astype(dtype).view(np.uint8).reshape(len(columns), -1, np.dtype(dtype).itemsize).transpose(0, 2, 1).tobytes()
+
+
+def _from_planes(data: bytes, n: int, dtype: str) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(n, size, -1).transpose(0, 2, 1)).view(dtype)[:, :, 0]
+
+
+_DEALT = "shard int, kind int, data binary, pieces binary, docs binary"
+
+
+def _pack_task(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            phrase = batch.column("phrase").to_numpy()
+            shard = shard_of(phrase.view(np.uint8), np.arange(len(phrase)) * PHRASE, shards)
+            order = np.argsort(shard, kind="stable")
+            cut = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)) if len(order) else order
+            packs = [phrase[x].tobytes() for x in np.split(order, cut[1:])][: len(cut)]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[order][cut], pa.int32()), pa.array([0] * len(cut), pa.int32()), pa.array(packs, pa.binary()), pa.nulls(len(cut), pa.binary()), pa.nulls(len(cut), pa.binary())], ["shard", "kind", "data", "pieces", "docs"])
+
+    return run
+
+
+def _deal_task(shards: int):
+    """Streams cut into runs of places whose phrases have one shard, each sent there with the codes to its last phrase's end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
+        for batch in batches:
+            for part in blocks(batch, "codes"):
+                streams = part.column("codes").to_pylist()
+                codes = np.frombuffer(b"".join(streams), np.uint8)
+                size = np.array([len(x) for x in streams], np.int64)
+                begin = np.cumsum(size) - size
+                room = np.maximum(size - (PHRASE - 1), 0)
+                first = np.repeat(begin - (np.cumsum(room) - room), room) + np.arange(room.sum())
+                if not len(first):
+                    continue
+                shard = shard_of(codes, first, shards)
+                cut = np.flatnonzero(np.append(True, (np.diff(shard) != 0) | (np.diff(first) != 1)))
+                n = np.diff(np.append(cut, len(first)))
+                order = np.argsort(shard[cut], kind="stable")
+                cut, n = cut[order], n[order]
+                shard, at = shard[cut], first[cut]
+                owner = np.searchsorted(begin + size, at, side="right")
+                long = n + (PHRASE - 1)
+                ends = np.cumsum(long)
+                data = codes[np.repeat(at - (ends - long), long) + np.arange(ends[-1])]
+                doc_id, k1 = (part.column(c).to_numpy() for c in ("doc_id", "k1"))
+                edge = np.append(np.flatnonzero(np.append(True, np.diff(shard) != 0)), len(shard))
+                cols = [[], [], []]
+                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                    docs, pieces = np.unique(owner[a:b], return_counts=True)
+                    cols[0].append(data[ends[a] - long[a] : ends[b - 1]].tobytes())
+                    cols[1].append(_planes(n[a:b], at[a:b] - begin[owner[a:b]], dtype="<i4"))
+                    cols[2].append(_planes(doc_id[docs], k1[docs], pieces, dtype="<i8"))
+                yield pa.RecordBatch.from_arrays([pa.array(shard[edge[:-1]], pa.int32()), pa.array([1] * len(cols[0]), pa.int32()), *(pa.array(c, pa.binary()) for c in cols)], ["shard", "kind", "data", "pieces", "docs"])
+        release_memory()
+
+    return run
+
+
+def piece_hits(machine, data: bytes, pieces: bytes, docs: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """doc_id, k1 and hits of the documents of a dealt row where the automaton's phrases occur."""
+    n, begin = _from_planes(pieces, 2, "<i4").astype(np.int64)
+    doc_id, k1, n_pieces = _from_planes(docs, 3, "<i8")
+    at = np.array(occurrences(machine, data), np.int64)
+    start = np.cumsum(n + (PHRASE - 1)) - (n + (PHRASE - 1))
+    piece = np.searchsorted(start, at, side="right") - 1
+    inside = at - start[piece] < n[piece]  # not from one piece into the next
+    at, piece = at[inside], piece[inside]
+    owner = np.repeat(np.arange(len(doc_id)), n_pieces)[piece]
+    edge = np.flatnonzero(np.append(True, np.diff(owner) != 0)) if len(owner) else owner
+    return doc_id[owner[edge]], k1[owner[edge]], np.split(at - start[piece] + begin[piece], edge[1:])[: len(edge)]
 
 
 def _stream_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shard, block, kind): a shard's phrases, then the streams of a block of documents.  A worker keeps the last automaton for its next block."""
-    begin_task("automaton")
+    """Rows sorted by (shard, kind): a shard's phrases, then the pieces of streams dealt to it."""
+    begin_task()
     group, phrases, machine = None, [], None
     for batch in batches:
         ids, keys, hits = [], [], []
-        for shard, block, kind, doc_id, k1, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "kind", "doc_id", "k1", "data"))):
-            if (shard, block) != group:
-                group, phrases, machine = (shard, block), [], None
-            if kind == 0:
-                phrases.append(data)
+        for shard, kind, *row in zip(*(batch.column(c) for c in ("shard", "kind", "data", "pieces", "docs"))):
+            if shard != group:
+                group, phrases, machine = shard, [], None
+            row = [x.as_py() for x in row]
+            if kind.as_py() == 0:
+                phrases.append(row[0])
                 continue
             if phrases:
-                whole = b"".join(sorted(phrases))
-                machine, phrases = resident("automaton", hashlib.sha256(whole).hexdigest(), lambda: automaton(whole)), []
-            found = occurrences(machine, data)
-            if found:
-                ids.append(doc_id)
-                keys.append(k1)
-                hits.append(found)
+                machine, phrases = automaton(b"".join(sorted(phrases))), []
+            if machine is not None:
+                for out, x in zip((ids, keys, hits), piece_hits(machine, *row)):
+                    out.extend(x)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "k1", "hits"])
     release_memory()
 
@@ -187,14 +274,10 @@ def _stream_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def locate(streams: DataFrame, phrases: DataFrame, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """Every occurrence of the phrases in the streams (doc_id, k1, codes): rows (doc_id, k1, hits), hits from 0 on."""
     parts = int(streams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(1, -(-phrases.count() // shard_phrases))
-    n_blocks = max(1, -(-parts // shards))
-    packs = phrases.select(F.pmod(F.xxhash64("phrase"), F.lit(shards)).alias("shard"), "phrase").mapInArrow(_pack_task, "shard long, pack binary")
-    none = F.lit(None).cast("long")
-    packs = packs.select("shard", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(0).alias("kind"), none.alias("doc_id"), none.alias("k1"), F.col("pack").alias("data"))
-    block = F.pmod(F.xxhash64("k1", "doc_id"), F.lit(n_blocks)).cast("int")
-    each = streams.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), block.alias("block"), F.lit(1).alias("kind"), "doc_id", "k1", F.col("codes").alias("data"))
-    rows = packs.unionByName(each).repartition(max(parts, shards * n_blocks), "shard", "block").sortWithinPartitions("shard", "block", "kind")
+    shards = max(parts, -(-phrases.count() // shard_phrases))
+    packs = phrases.select("phrase").mapInArrow(_pack_task(shards), _DEALT)
+    rows = packs.unionByName(streams.select("doc_id", "k1", "codes").mapInArrow(_deal_task(shards), _DEALT))
+    rows = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "kind")
     return rows.mapInArrow(_stream_task, "doc_id long, k1 long, hits array<int>")
 
 

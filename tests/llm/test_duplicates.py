@@ -246,6 +246,31 @@ def test_repeats_over_many_shards(spark):
     assert got == want
 
 
+def test_streams_are_dealt_once_whatever_the_shards():
+    """Every place of every stream meets the one shard that would hold its phrase, and the bytes dealt do not grow with the shards."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    streams = [bytes(r.integers(0, 40, n, dtype=np.uint8)) for n in (0, 7, 8, 9, 5000, 300)] + [b"\5" * 400]
+    ids = [None if i == 1 else 3 * i for i in range(len(streams))]
+    batch = pa.record_batch([pa.array([i or 0 for i in ids]), pa.array(range(-3, len(streams) - 3)), pa.array(streams, pa.binary())], ["doc_id", "k1", "codes"])
+    places = {(k, i): streams[k][i : i + repeats.PHRASE] for k in range(len(streams)) for i in range(len(streams[k]) - repeats.PHRASE + 1)}
+    phrases = np.frombuffer(b"".join(sorted(set(places.values()))), np.int64)
+    sizes = {}
+    for shards in (1, 7, 500):
+        machines, seen, sizes[shards] = {}, [], 0
+        for b in repeats._pack_task(shards)([pa.record_batch([pa.array(phrases)], ["phrase"])]):
+            for shard, pack in zip(b.column("shard").to_pylist(), b.column("data").to_pylist()):
+                machines[shard] = repeats.automaton(pack)
+        for b in repeats._deal_task(shards)([batch]):
+            for shard, data, pieces, docs in zip(*(b.column(c).to_pylist() for c in ("shard", "data", "pieces", "docs"))):
+                sizes[shards] += len(data)
+                for _, k1, hits in zip(*repeats.piece_hits(machines[shard], data, pieces, docs)):
+                    seen += [(int(k1) + 3, int(i)) for i in hits]
+        assert sorted(seen) == sorted(places)
+    assert sizes[500] < 5 * sum(map(len, streams))
+
+
 def terms_of(text):
     lower = "".join(c.lower() if c < "\x80" else c for c in text or "")
     return set(re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", lower))
