@@ -1,4 +1,4 @@
-"""What the two convolutional classifiers share: bounded labelled samples, Adam, calibration."""
+"""What the two convolutional classifiers share: labelled rows, all or a bounded sample, Adam, calibration."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bounded
+
 #: A model is fitted on a sample of labelled rows: of each class at most so many documents, in the order of a hash of the
 #: id, and no more of them once their texts come to CLASS_BYTES.  Texts are whole; the bounds keep the driver's memory.
 PER_CLASS, CLASS_BYTES = 1500, 16 << 20
@@ -37,6 +39,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: C
     return [r[1] for r in rows], y, weight / weight.mean() if len(rows) else weight, [r[3] or None for r in rows]
 
 
+#: Up to so many labels, they are broadcast.
+LABEL_ROWS = 250_000
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column) -> DataFrame:
+    """All documents with a label that may be learned from, once each as in labelled_sample: doc_id, y, text, lang ("" of none)."""
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & may_learn).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("y"))
+    some = docs.where(may_learn).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    some = some.join(bounded(known, LABEL_ROWS), "doc_id")
+    return some.groupBy("doc_id", "y").agg(F.max(F.struct("text", "lang")).alias("row")).select("doc_id", "y", "row.*")
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 

@@ -224,6 +224,35 @@ def test_toxicity_scores_one_by_one(monkeypatch):
         assert np.allclose(net.scores(texts), want, atol=1e-7)
 
 
+@pytest.mark.parametrize("shard_bytes", [toxicity.SHARD_BYTES, 50_000])
+def test_toxicity_learns_from_all_rows(spark, shard_bytes):
+    """What only the last rows of a class say, in the order of a hash, beyond any 1,500, is learned too; a class of few rows is in every shard."""
+    ids = [r.doc_id for r in spark.range(6000).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id")).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    toxic = ids[::2]
+    late = set(toxic[1600:])
+    assert len(late) > 300
+    word = {i: "late" if i in late else "bad" for i in toxic}
+    if shard_bytes < toxicity.SHARD_BYTES:  # few toxic rows, most of them late
+        toxic = toxic[1590:]
+    rows = [(i, f"w{i % 7} x{i % 11} {word.get(i, 'good')} y{i % 5}", "en") for i in (*ids[1::2], *toxic)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(w in ("late", "bad"))) for i, w in ((i, t.split()[2]) for i, t, _ in rows)], "doc_id long, toxic int")
+    net, thresholds = toxicity.train(docs, labels, shard_bytes=shard_bytes)
+    likely, not_likely = net.scores(["w1 x2 late y3", "w1 x2 good y3"])
+    assert likely > thresholds[None] > not_likely and likely > 0.5 > not_likely and "en" in thresholds
+
+
+def test_best_threshold_against_all_cuts():
+    r = np.random.default_rng(2)
+    for n in (1, 2, 5, 60):
+        for _ in range(20):
+            score, y = r.integers(0, 12, n) / 11, r.integers(0, 2, n)
+            f1 = lambda t: 2 * (y[score >= t] == 1).sum() / max(1, (score >= t).sum() + (y == 1).sum())  # noqa: E731, B023
+            cuts = np.unique(score)
+            want = max([toxicity.THRESHOLD, *((cuts[1:] + cuts[:-1]) / 2)], key=lambda t: (f1(t), -abs(t - toxicity.THRESHOLD)))
+            assert toxicity.best_threshold(score, y) == pytest.approx(want)
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_learns_from_the_end_of_long_texts(module):
     """What parts the classes stands beyond the first thousands of words."""
