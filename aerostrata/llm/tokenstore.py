@@ -72,8 +72,10 @@ class Encoder:
 
     A byte-level pre-tokenizer always cuts before a space that stands between
     characters other than white space, so pieces from one such space to the next
-    can be encoded alone; each distinct piece is encoded once and remembered in a
-    table under a 64-bit hash of its bytes and length.  Texts where a space touches
+    can be encoded alone.  It also cuts between an ASCII letter and ASCII punctuation,
+    so pieces are cut there too, and a word has one piece whatever mark follows it.
+    Each distinct piece is encoded once and remembered in a table under a 64-bit hash
+    of its bytes and length.  Texts where a space touches
     other white space (of ASCII or not), with a space at the end or an added token's
     content are encoded whole.
     """
@@ -92,6 +94,7 @@ class Encoder:
         self.leads = np.zeros(self.tok.get_vocab_size(), bool)
         if self.by_piece:
             self.leads[[i for t, i in self.tok.get_vocab().items() if t.startswith(space)]] = True
+        self.letter_ids = len(self.tok.encode(" a", add_special_tokens=False).ids)
         self._forget()
 
     def _forget(self) -> None:
@@ -109,6 +112,13 @@ class Encoder:
         ids = np.concatenate(self._fresh(groups) or [np.empty(0, self.dtype)])
         return ids, np.diff(np.append(np.flatnonzero(self.leads[ids]), len(ids)))
 
+    def _marked(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that begin with ASCII punctuation and have no space before, many in one call: each behind a letter, whose ids go again."""
+        ids, count = self._spaced([b"a" + p for p in pieces])
+        own = np.ones(len(ids), bool)
+        own[((np.cumsum(count) - count)[:, None] + np.arange(self.letter_ids)).ravel()] = False
+        return ids[own], count - self.letter_ids
+
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         """The table's slot of each key: where it is, or the free one where it ends its search."""
         mask = np.int64((1 << TABLE_BITS) - 1)
@@ -155,10 +165,12 @@ class Encoder:
         if not cut:
             return out
         begins = np.cumsum([0] + [len(texts[i]) + 1 for i in cut[:-1]])
+        rest = _cut_at_marks(words)
         keys = words.hashes() | np.uint64(1)
         full = np.flatnonzero(words.counts)
         head = words.doc[:-1][full]
         head = head[words.start[head] == begins[full]]
+        head = np.concatenate([head, rest])  # pieces without a space before
         keys[head] = mix64(keys[head]) | np.uint64(1)
         slot = self._slots(keys)
         lacking = np.flatnonzero(self.keys[slot] == 0)
@@ -170,10 +182,11 @@ class Encoder:
                 self._forget()
                 fresh = np.unique(keys, return_index=True)[1]
             raw = words.buf.tobytes()
-            for some, lead in ((fresh[~is_head[fresh]], True), (fresh[is_head[fresh]], False)):
+            marked = _MARK[words.buf[words.start[fresh]]]
+            for some, many in ((fresh[~is_head[fresh]], self._spaced), (fresh[is_head[fresh] & marked], self._marked), (fresh[is_head[fresh] & ~marked], None)):
                 pieces = [raw[a:b] for a, b in zip(words.start[some].tolist(), words.end[some].tolist())]
-                if lead:
-                    self._learn(keys[some], *self._spaced(pieces))
+                if many and pieces:
+                    self._learn(keys[some], *many(pieces))
                 elif pieces:
                     got = self._fresh([p.decode() for p in pieces])
                     self._learn(keys[some], np.concatenate(got), np.array([len(g) for g in got]))
@@ -194,6 +207,19 @@ _CODES = np.array([int.from_bytes(w, "big") for w in _WHITE])
 _FIRST, _LAST = (np.isin(np.arange(256), [w[i] for w in _WHITE]) for i in (0, -1))
 
 
+_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+_MARK = np.array([32 < b < 127 and not chr(b).isalnum() for b in range(256)])
+
+
+def _cut_at_marks(words: Words) -> np.ndarray:
+    """Cut words between an ASCII letter and ASCII punctuation; the numbers of those that then begin at a cut."""
+    at = np.flatnonzero(_LETTER[words.buf[:-1]] & _MARK[words.buf[1:]]) + 1
+    after = np.searchsorted(words.start, at)
+    words.start, words.end = np.insert(words.start, after, at), np.insert(words.end, after - 1, at)
+    words.doc = words.doc + np.searchsorted(after, words.doc, side="right")
+    return after + np.arange(len(at))
+
+
 def _touching(words: Words) -> np.ndarray:
     """For each text, whether a piece between spaces begins or ends with other white space."""
     out = np.zeros(words.n, bool)

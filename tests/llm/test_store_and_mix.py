@@ -214,3 +214,22 @@ def test_running_sums(spark, monkeypatch):
     rows = [(k, i, (i * 7 + k) % 11) for k in range(3) for i in range(0, 50, k + 1)]
     got = mixing.running(spark.createDataFrame(rows, "k int, at long, n long"), ["k"], "at", "n").collect()
     assert {(r.k, r["at"]): r.before for r in got} == {(k, i): sum(n for a, j, n in rows if a == k and j < i) for k, i, _ in rows}
+
+
+def test_marks_cut_words():
+    """A word has one piece whatever mark follows it; ids equal the tokenizer's on whole texts."""
+    import json
+
+    with open(tokenstore.default_tokenizer(), encoding="utf-8") as f:
+        spec = f.read()
+    enc = tokenstore.Encoder(spec)
+    marks = [*"!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~\\", "'s", "'ll.", "'re,x", ".\nNext", ".\n", "***\tb", "\u2019s", "1.", "é.", ".é", "..9a-b"]
+    texts = ["'s a", "-", "", "a", ".x y. Z", "don't WE'LL x'S", "e\u0301. \u00bd, ab\u00a0c.", "a's'", "日本.語, x"]
+    texts += [f"Word{m} word{m} inn{m}x y" for m in marks] + [f"{m}word wordly{m}" for m in marks]
+    for _ in range(2):
+        got = enc.encode([t.encode() for t in texts])
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in got] == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert json.loads(spec)["pre_tokenizer"] and enc.by_piece
+    used = enc.used
+    enc.encode([("x " + " ".join(f"unheardofword{m}" for m in ",;:!?")).encode()])
+    assert enc.used - used <= 2
