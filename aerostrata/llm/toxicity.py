@@ -46,7 +46,7 @@ TABLE_BITS, EMBED, FILTERS, WIDTHS = 17, 12, 12, (1, 2, 3)
 PREFIXES = (3, 5, 7)
 BATCH, ROUNDS, LEAST_STEPS, SEED = 32, 4, 800, 7
 #: Bytes of text that a task learns from, about; rows of each class that it should have at least; rows of a class from which on a fifth is kept back.
-SHARD_BYTES, RARE, BACK_LEAST = 8 << 20, 50, 25
+SHARD_BYTES, RARE, BACK_LEAST = 16 << 20, 50, 25
 #: The table's rows are averaged in so many pieces.
 PIECES = 16
 #: Words handled at a time.
