@@ -160,7 +160,10 @@ def _score_task(net: ByteNet):
 
 def train(docs: DataFrame, labels: DataFrame) -> ByteNet:
     texts, y, weight, _ = labelled_sample(docs, labels, "quality", crc_mod("doc_id", 5) != 0)
-    return fit(texts, y, weight)
+    net = fit(texts, y, weight)
+    del texts
+    release_memory()  # the driver's
+    return net
 
 
 def score(docs: DataFrame, net: ByteNet) -> DataFrame:

@@ -110,6 +110,32 @@ def test_components(spark, monkeypatch, few):
     assert all(got[i] == 0 for i in range(1, 41)) and got[300] == 100 and got[529] == 500 and 50 not in got
 
 
+@pytest.mark.parametrize("few", [20, common.FEW_EDGES])
+def test_components_against_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_EDGES", few)
+    r = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in r.integers(0, 300, (170, 2)) - 100] + [(i, i + 1) for i in range(1000, 1060)] + [(2000 + i % 7, 2000 + i) for i in range(50)]
+    least = {x: x for e in edges for x in e}
+    while (now := {x: min([least[x], *(least[b] for a, b in edges if a == x), *(least[a] for a, b in edges if b == x)]) for x in least}) != least:
+        least = now
+    got = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {(g.id, g.class_id) for g in got} == {(x, y) for x, y in least.items() if x != y} and len(got) == len({g.id for g in got})
+
+
+def test_few_edges_take_few_tasks(spark):
+    """The driver keeps figures of every task: rounds of joins over few edges filled its memory."""
+    context, parts = spark.sparkContext, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").coalesce(1)
+    context.setJobGroup("few-edges", "components of few edges")
+    try:
+        assert {r.class_id for r in common.components(edges).collect()} == {0}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few-edges") for s in tracker.getJobInfo(j).stageIds}
+    assert sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s))) <= 2 * parts + 6
+
+
 def removed_by_brute_force(rows, window):
     words = [(i, WORD.findall(t or "")) for i, t in rows]
     first = {}
