@@ -50,6 +50,8 @@ MOST_TOLD = 1 << 16
 OFTEN = 8
 #: A worker sums the words or pairs of so many tokens before it sends them on.
 HELD = 1 << 20
+#: A part's pairs get their losses about so many at a time.
+RANGE = 1 << 17
 UNIT = float(1 << 32)
 BEGIN, UNKNOWN, FIRST = 0, 1, 2
 
@@ -183,13 +185,15 @@ def pack(*columns: np.ndarray) -> bytes:
     return np.int64(len(columns)).tobytes() + head.tobytes() + b"".join(_planes(c) for c in columns)
 
 
-def unpack(data: bytes) -> list[np.ndarray]:
+def unpack(data: bytes | pa.Buffer, which: tuple[int, ...] | None = None) -> list[np.ndarray]:
+    """The arrays, or those of some numbers."""
     view = memoryview(data)
     n = int(np.frombuffer(view, np.int64, 1)[0])
     head = np.frombuffer(view, np.int64, 2 * n, 8)
     at, out = 8 + 16 * n, []
-    for size, width in zip(head[0::2].tolist(), head[1::2].tolist()):
-        out.append(_from_planes(view[at:], size, f"i{width}"))
+    for i, (size, width) in enumerate(zip(head[0::2].tolist(), head[1::2].tolist())):
+        if which is None or i in which:
+            out.append(_from_planes(view[at:], size, f"i{width}"))
         at += size * width
     return out
 
@@ -265,38 +269,56 @@ def _send_task(shared, parts: int):
     return run
 
 
+def _whole_losses(key: np.ndarray, counts: tuple[np.ndarray, np.ndarray], models: Models) -> np.ndarray:
+    """Losses of pairs under both models, from counts that stand at several places of a pair and are summed; about RANGE places at a time, cut by value."""
+    step = max(1, RANGE // 64)
+    ends = np.sort(key[::64])[step::step]
+    which = np.searchsorted(ends, key, side="right").astype(np.int32)
+    out = np.empty((2, len(key)), np.int64)
+    for i in range(len(ends) + 1):
+        some = np.flatnonzero(which == i)
+        distinct, back = np.unique(key[some], return_inverse=True)
+        whole = tuple(np.bincount(back, n[some], len(distinct)).astype(np.int64) for n in counts)
+        for total, x in zip(out, models.losses(distinct, whole)):
+            total[some] = x[back]
+    return out
+
+
+def _part_losses(pieces: list[tuple[int, pa.Buffer]], models: Models, alone: bool) -> Iterator[pa.RecordBatch]:
+    """Of a part's pieces (a chunk's pairs each, packed): its documents' losses, packed.  Pieces stay packed; what is needed of one is unpacked when it is."""
+    size = np.array([np.frombuffer(raw, np.int64, 1, 8)[0] for _, raw in pieces])
+    ends = np.cumsum(size)
+    key, n, n_good = np.empty(ends[-1], np.int64), np.empty(ends[-1], np.int32), np.empty(ends[-1], np.int32)
+    for (_, raw), a, b in zip(pieces, (ends - size).tolist(), ends.tolist()):
+        gaps, n_docs, n_good[a:b], times = unpack(raw, (0, 1, 2, 4))
+        np.cumsum(gaps, out=key[a:b])
+        n[a:b] = np.add.reduceat(times, np.cumsum(n_docs) - n_docs)
+    losses = _whole_losses(key, (n if alone else n_good, n), models)
+    del key, n, n_good
+    for (chunk, raw), a, b in zip(pieces, (ends - size).tolist(), ends.tolist()):
+        n_docs, doc, times = unpack(raw, (1, 3, 4))
+        order = np.argsort(doc, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(doc[order]) != 0))
+        sums = [np.add.reduceat((np.repeat(x[a:b], n_docs) * times)[order], first) for x in losses]
+        yield _rows([None], [chunk], [pack(doc[order][first], *sums)])
+
+
 def _loss_task(models, alone: bool):
     """Counts of a part's pairs over all chunks; their losses, summed for each document, packed; other rows stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_task()
-        held = []
+        held, batch, data = [], None, None
         for batch in batches:
             data = batch.column("data")
             plain = batch.filter(pc.is_null(data))
             if len(plain):
                 yield plain
-            some = batch.filter(pc.is_valid(data))
-            for chunk, raw in zip(some.column("chunk").to_pylist(), some.column("data").to_pylist()):
-                key, n_docs, n_good, doc, times = unpack(raw)
-                held.append((chunk, np.cumsum(key), n_docs, n_good, doc, times))
+            # pieces of the batch's own memory, not copies
+            held += [(chunk, raw.as_buffer()) for chunk, raw in zip(batch.column("chunk").to_pylist(), data) if raw.is_valid]
         if held:
-            distinct, back = np.unique(np.concatenate([x[1] for x in held]), return_inverse=True)
-            n, n_good, at = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64), 0
-            for _, key, n_docs, some, _, times in held:
-                mine = back[at : at + len(key)]
-                at += len(key)
-                n[mine] += np.add.reduceat(times, np.cumsum(n_docs) - n_docs)
-                n_good[mine] += some
-            losses, at = models.value.losses(distinct, (n if alone else n_good, n)), 0
-            for chunk, key, n_docs, _, doc, times in held:
-                mine = np.repeat(back[at : at + len(key)], n_docs)
-                at += len(key)
-                order = np.argsort(doc, kind="stable")
-                first = np.flatnonzero(np.append(True, np.diff(doc[order]) != 0))
-                sums = [np.add.reduceat((x[mine] * times)[order], first) for x in losses]
-                yield _rows([None], [chunk], [pack(doc[order][first], *sums)])
-        held = []
+            yield from _part_losses(held, models.value, alone)
+        held, batch, data = [], None, None
         release_memory()
 
     return run

@@ -151,6 +151,47 @@ def test_lm_counts_are_exact(spark, monkeypatch, hot):
         assert got[i].target_loss == pytest.approx(target, abs=1e-8) and got[i].background_loss == pytest.approx(background, abs=1e-8)
 
 
+def test_a_part_takes_little_more_than_its_pieces(monkeypatch):
+    """Losses of a part's documents against sums one by one, in less than twice the memory of its packed pairs."""
+    import collections
+    import tracemalloc
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(lm, "RANGE", 1 << 13, raising=False)
+    r, data, docs_of = np.random.default_rng(8), [], []
+    words = [r.integers(1, 50, 4000).astype(float) for _ in range(2)]
+    for _ in range(30):
+        key = np.unique(r.integers(0, 4000, 30_000) << 32 | r.integers(0, 4000, 30_000))
+        n_docs, n_good = r.integers(1, 3, len(key)).astype(np.int32), r.integers(0, 2, len(key)).astype(np.int32)
+        doc = np.concatenate([r.choice(500, k, replace=False) for k in n_docs]).astype(np.int32)
+        docs_of.append((key, n_docs, n_good, doc, r.integers(1, 4, len(doc)).astype(np.int32)))
+        data.append(lm.pack(np.diff(key, prepend=0), *docs_of[-1][1:]))
+    batch = lm._rows([0] * len(data), list(range(len(data))), data)
+    size, models = sum(map(len, data)), lm.Models(words)
+    del data
+    tracemalloc.start()
+    try:
+        got = list(lm._loss_task(SimpleNamespace(value=models), False)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * size
+    n, good = collections.Counter(), collections.Counter()
+    for key, n_docs, n_good, _, times in docs_of:
+        for k, a, b in zip(key.tolist(), np.add.reduceat(times, np.cumsum(n_docs) - n_docs).tolist(), n_good.tolist()):
+            n[k] += a
+            good[k] += b
+    every = np.array(sorted(n))
+    losses = models.losses(every, (np.array([good[k] for k in every.tolist()]), np.array([n[k] for k in every.tolist()])))
+    for chunk, (out, (key, n_docs, _, doc, times)) in enumerate(zip(got, docs_of)):
+        found, *sums = lm.unpack(out.column("data")[0].as_py())
+        assert out.column("chunk")[0].as_py() == chunk
+        for x, total in zip(losses, sums):
+            want = np.zeros(500, np.int64)
+            np.add.at(want, doc, np.repeat(x[np.searchsorted(every, key)], n_docs) * times)
+            assert (total == want[found]).all() and not np.delete(want, found).any()
+
+
 def _pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, score double, host string")
 
