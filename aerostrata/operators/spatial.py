@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import nearest_on_lines, points_within
-from .stats import quantiles
+from .joins import nearest_on_lines, points_within, small
+from .stats import weighted_quantile
 
 
 def ring_area(ring: Column) -> Column:
@@ -46,16 +46,47 @@ def segments(lines: DataFrame, key: str = "road_id") -> DataFrame:
     return lines.select(key, "points", at).select(key, F.col("points")[F.col("i")]["x"].alias("x1"), F.col("points")[F.col("i")]["y"].alias("y1"), F.col("points")[F.col("i") + 1]["x"].alias("x2"), F.col("points")[F.col("i") + 1]["y"].alias("y2"))
 
 
-def facility_pairs(places: DataFrame, facilities: DataFrame, radius: float) -> DataFrame:
-    """Pairs within radius with unit direction, decay and severity (0.7 of the amount over its 95th percentile among pairs, 0.3 of chemicals over their most)."""
-    pairs = points_within(places, facilities, radius).withColumn("decay", F.exp(-F.col("dist") / radius))
-    pairs = pairs.withColumn("dir_x", F.col("dx") / F.col("dist")).withColumn("dir_y", F.col("dy") / F.col("dist"))
-    top = quantiles(pairs, ["amount"], [0.95])["amount"][0]
-    scale = pairs.agg(F.lit(top).cast("double").alias("_q"), F.max("amount").alias("_a"), F.max("n_chemicals").alias("_c"))  # one row
-    q = F.when((F.col("_q") > 0) & ~F.isnan("_q"), F.col("_q")).otherwise(F.greatest(F.col("_a"), F.lit(1.0)))
+def _severity(q: Column, chemicals: Column) -> Column:
+    """0.7 of the amount over its 95th percentile among pairs, 0.3 of chemicals over their most."""
     clip = lambda c: F.least(F.lit(1.0), F.greatest(F.lit(0.0), c))
-    severity = clip(F.col("amount") / q) * 0.7 + clip(F.col("n_chemicals") / F.greatest(F.col("_c"), F.lit(1.0))) * 0.3
-    return pairs.crossJoin(F.broadcast(scale)).withColumn("severity", severity).drop("_q", "_a", "_c")
+    return clip(F.col("amount") / q) * 0.7 + clip(F.col("n_chemicals") / chemicals) * 0.3
+
+
+def severities(places: DataFrame, facilities: DataFrame, radius: float) -> DataFrame:
+    """Facilities within radius of a place, with their severity.
+
+    Pairs are only counted, for each place of facilities: how many there are of a
+    facility is its weight in the percentile.
+    """
+    where = places.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n_pairs"))
+    met = points_within(where, facilities.select("fx", "fy").distinct(), radius).groupBy("fx", "fy").agg(F.sum("n_pairs").alias("n_pairs"))
+    near = facilities.join(small(met), ["fx", "fy"]).persist()  # read again for each figure
+    q = weighted_quantile(near, "amount", "n_pairs", 0.95)
+    most = near.agg(F.max("amount").alias("a"), F.max("n_chemicals").alias("c")).select(F.greatest("a", F.lit(1.0)).alias("a"), F.greatest("c", F.lit(1.0)).alias("c")).first()  # one row
+    q = q if q is not None and q > 0 else most.a
+    return near.withColumn("severity", _severity(F.lit(q), F.lit(most.c)))
+
+
+def facility_pairs(places: DataFrame, facilities: DataFrame, radius: float) -> DataFrame:
+    """Pairs within radius with unit direction, decay and severity."""
+    also = {"decay": F.exp(-F.col("dist") / radius), "dir_x": F.col("dx") / F.col("dist"), "dir_y": F.col("dy") / F.col("dist")}
+    return points_within(places, severities(places, facilities, radius).drop("n_pairs"), radius, also=also)
+
+
+def impact_scores(places: DataFrame, facilities: DataFrame, radius: float, key: str, wx: Column, wy: Column) -> DataFrame:
+    """(key, score): impact() of each place's facilities without its list of pairs, in a sum; wind follows from places' columns.
+
+    Facilities at the same place have the same direction and decay, so their
+    severities are added up first and a place meets each such place once.
+    """
+    spots = severities(places, facilities, radius).groupBy("fx", "fy").agg(F.sum("severity").alias("severity"))
+    asked = places.select(key, "x", "y", wx.alias("_wx"), wy.alias("_wy"))
+    pairs = points_within(asked, spots, radius, also={"_decay": F.exp(-F.col("dist") / radius), "_ux": F.col("dx") / F.col("dist"), "_uy": F.col("dy") / F.col("dist")})
+    wind = F.when(F.col("_wx").isNotNull() & F.col("_wy").isNotNull(), F.greatest(F.col("_wx") * F.col("_ux") + F.col("_wy") * F.col("_uy"), F.lit(0.0)))
+    terms = pairs.select(key, (F.col("severity") * F.col("_decay") * wind).alias("_term"), F.lit(0).alias("_rows"))
+    each = places.select(key, F.lit(0.0).alias("_term"), F.lit(1).alias("_rows")).unionByName(terms).groupBy(key)
+    summed = each.agg((F.sum("_term") * F.sum("_rows")).alias("score"), F.count_if(F.col("_term").isNull()).alias("_calm"))
+    return summed.select(key, F.when(F.col("_calm") == 0, F.col("score")).alias("score"))
 
 
 def road_pairs(places: DataFrame, pieces: DataFrame, radius: float, key: str) -> DataFrame:

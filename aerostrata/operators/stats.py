@@ -72,6 +72,39 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[st
     return out
 
 
+def weighted_quantile(df: DataFrame, value: str, weight: str, share: float) -> float | None:
+    """The exact quantile (linear between neighbours) of values that count as often as their whole weight says; None without values.
+
+    Of more than ``BAND`` different values only those of the ranges that hold the wanted ranks are put in order.
+    """
+    df = df.select(F.col(value).cast("double").alias("v"), F.col(weight).alias("w")).where("v is not null and w > 0").groupBy("v").agg(F.sum("w").alias("w"))
+    n, total = df.agg(F.count("v"), F.sum("w")).first()
+    if not n:
+        return None
+    at, below = share * (total - 1), 0
+    rank = int(at + 1e-9)
+    last = min(rank + 1, total - 1)
+    while n > BAND:
+        cuts = sorted(set(df.agg(F.percentile_approx("v", [i / 64 for i in range(1, 64)], ACCURACY)).first()[0]))
+        ranges = sorted(df.groupBy(_place(F.col("v"), cuts).alias("k")).agg(F.count("v").alias("n"), F.sum("w").alias("w")).collect())  # a row for each range
+        upto, n = below, 0
+        kept = []
+        for r in ranges:
+            if upto <= last and upto + r.w > rank:
+                below = below if kept else upto
+                kept.append(r.k)
+                n += r.n
+            upto += r.w
+        if len(kept) == len(ranges):
+            break
+        df = df.where(_place(F.col("v"), cuts).isin(kept))
+    upto = F.sum("w").over(Window.partitionBy(F.lit(0)).orderBy("v"))
+    picked = df.withColumn("upto", upto + below).where((F.col("upto") > rank) & (F.col("upto") - F.col("w") <= last))
+    a, b = picked.agg(F.min("v"), F.max("v")).first()
+    part = max(0.0, at - rank)
+    return a if part < 1e-9 else a + (b - a) * part
+
+
 def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles (exact, linear), max: a row for each column (and group); whole columns share one pass beside their quartiles."""
     figures = lambda c: {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "max": F.max(c).cast("double")}

@@ -258,3 +258,43 @@ def test_permutation_importance_takes_all_lines(spark, monkeypatch):
     QUERIES["permutation_importance"](spark, "/root/testdata/sf0.001")
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert taken[0].count() == lines.count()
+
+
+def test_points_of_one_place_meet_once(spark, monkeypatch):
+    """Ten rows of each of two places, five of each facility's: two distances are worked out, not 100; chunks and stated tasks give the same rows."""
+    a = spark.range(20).select("id", (F.col("id") % 2).cast("double").alias("x"), F.lit(0.0).alias("y"))
+    b = spark.range(10).select(F.col("id").alias("fid"), (F.col("id") % 2 + 0.25).alias("fx"), F.lit(0.0).alias("fy"))
+    want = {(i, j) for i in range(20) for j in range(10) if abs(i % 2 - j % 2 - 0.25) <= 0.5}
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        calls.add(1)
+        return x
+
+    pairs = joins.points_within(a, b, 0.5, also={"same": F.udf(seen, "double")("dist")}).collect()
+    assert {(r.id, r.fid) for r in pairs} == want and len(pairs) == 100 and all(r.same == r.dist == 0.25 for r in pairs) and calls.value == 2
+    monkeypatch.setattr(joins, "CHUNK_ROWS", 3)
+    monkeypatch.setattr(joins, "PRODUCT_OF_ONE", 10)
+    dealt = joins.points_within(a, b, 0.5)
+    assert sorted((r.id, r.fid) for r in dealt.collect()) == sorted(want) and dealt.rdd.getNumPartitions() > 1
+
+
+def test_weighted_quantile(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") * 37 % 101).cast("double").alias("v"), (F.col("id") % 4).alias("w"))
+    each = df.select("v", F.explode(F.sequence(F.lit(1), F.greatest("w", F.lit(1)))).alias("i"), "w").where("w > 0")
+    for band in (stats.BAND, 5):
+        monkeypatch.setattr(stats, "BAND", band)
+        for q in (0.0, 0.3, 0.95, 1.0):
+            assert stats.weighted_quantile(df, "v", "w", q) == pytest.approx(each.agg(F.percentile("v", F.lit(q))).first()[0])
+    assert stats.weighted_quantile(df.where("w < 0"), "v", "w", 0.5) is None
+
+
+def test_impact_scores_are_sums_over_pairs(spark):
+    places = spark.range(60).select(F.col("id").alias("zip"), (F.col("id") % 7 * 0.3).alias("x"), (F.col("id") % 5 * 0.2).alias("y"))
+    facilities = spark.range(40).select(F.col("id").alias("fid"), (F.col("id") % 4 * 0.5).alias("fx"), (F.col("id") % 3 * 0.4).alias("fy"), (F.col("id") % 9 * 1.0).alias("amount"), (F.col("id") % 5).alias("n_chemicals"))
+    wx, wy = F.when(F.col("zip") != 3, F.col("zip") % 3 - 1.0), F.col("zip") % 2 * 1.0
+    lists = spatial.as_lists(spatial.facility_pairs(places, facilities, 0.6), "zip")
+    want = {r.zip: r.s for r in places.join(lists, "zip", "left").select("zip", spatial.impact(F.col("pairs"), wx, wy).alias("s")).collect()}
+    found = spatial.impact_scores(places, facilities, 0.6, "zip", wx, wy)
+    assert {r.zip: r.score for r in found.collect()} == pytest.approx(want) and want[3] is None
+    assert "collect_list(struct(dir_x" not in found._jdf.queryExecution().toString()
