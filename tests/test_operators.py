@@ -279,6 +279,32 @@ def test_points_of_one_place_meet_once(spark, monkeypatch):
     assert sorted((r.id, r.fid) for r in dealt.collect()) == sorted(want) and dealt.rdd.getNumPartitions() > 1
 
 
+def test_lines_of_pieces_meet_without_aggregation(spark, monkeypatch):
+    import math as m
+
+    points = spark.range(30).select(F.col("id").alias("zip"), (F.col("id") % 5 * 1.5).alias("x"), (F.col("id") % 3 * 0.7).alias("y"))
+    pieces = [(k, float(k + i), i * 0.3, k + i + 1.0, (i + 1) * 0.3) for k in range(3) for i in range(4)] + [(3, 1.5, 0.7, 1.5, 0.7), (4, None, 0.0, 1.0, 1.0)]
+    lines = spark.createDataFrame(pieces, "road_id int, x1 double, y1 double, x2 double, y2 double")
+
+    def far(x, y, x1, y1, x2, y2):
+        vx, vy = x2 - x1, y2 - y1
+        t = min(1.0, max(0.0, ((x - x1) * vx + (y - y1) * vy) / (vx * vx + vy * vy))) if vx or vy else 0.0
+        return m.hypot(x1 + t * vx - x, y1 + t * vy - y)
+
+    want = {}
+    for p in points.collect():
+        for k, *at in pieces:
+            d = None if at[0] is None else far(p.x, p.y, *at)
+            if d and 1e-12 < d <= 1.0:
+                want[p.zip, k] = min(d, want.get((p.zip, k), 9.0))
+    for rows in (joins.CHUNK_ROWS, 7):
+        monkeypatch.setattr(joins, "CHUNK_ROWS", rows)
+        near = joins.nearest_on_lines(points, lines, 1.0, ["zip"], "road_id")
+        got = {(r.zip, r.road_id): r.dist for r in near.where("dist > 1e-12").collect()}
+        assert got == pytest.approx(want)
+        assert "partial_min" not in near._jdf.queryExecution().toString()
+
+
 def test_weighted_quantile(spark, monkeypatch):
     df = spark.range(500).select((F.col("id") * 37 % 101).cast("double").alias("v"), (F.col("id") % 4).alias("w"))
     each = df.select("v", F.explode(F.sequence(F.lit(1), F.greatest("w", F.lit(1)))).alias("i"), "w").where("w > 0")
