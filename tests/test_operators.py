@@ -324,3 +324,25 @@ def test_impact_scores_are_sums_over_pairs(spark):
     found = spatial.impact_scores(places, facilities, 0.6, "zip", wx, wy)
     assert {r.zip: r.score for r in found.collect()} == pytest.approx(want) and want[3] is None
     assert "collect_list(struct(dir_x" not in found._jdf.queryExecution().toString()
+
+
+def test_permutation_importance_needs_no_join(spark, monkeypatch):
+    """One group: both columns move along their rings; no values are joined back."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    df = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 7 * 1.0).alias("a"), (F.col("id") % 3 * 1.0).alias("b"), F.lit(0.0).alias("y"))
+    predict = lambda d: d.withColumn("prediction", F.col("a") * F.col("b"))
+    want = {}
+    for f, other in (("a", "b"), ("b", "a")):
+        for r in range(2):
+            rows = df.withColumn("o", F.xxhash64("k", F.lit(f), F.lit(r))).orderBy("o", "k").collect()
+            moved = [rows[i - 1][f] for i in range(50)]
+            rise = sum((m * x[other]) ** 2 - (x.a * x.b) ** 2 for m, x in zip(moved, rows)) / 50
+            want.setdefault(f, []).append(rise)
+
+    def joined(*_, **__):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(Frame, "join", joined)
+    got = {r.feature: r["mean"] for r in ml.permutation_importance(df, predict, ["a", "b"], "y", "k", 2).collect()}
+    assert got == pytest.approx({f: sum(v) / 2 for f, v in want.items()})
