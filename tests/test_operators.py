@@ -346,3 +346,15 @@ def test_permutation_importance_needs_no_join(spark, monkeypatch):
     monkeypatch.setattr(Frame, "join", joined)
     got = {r.feature: r["mean"] for r in ml.permutation_importance(df, predict, ["a", "b"], "y", "k", 2).collect()}
     assert got == pytest.approx({f: sum(v) / 2 for f, v in want.items()})
+
+
+def test_time_join_deals_out_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(joins, "PACK_ROWS", 4, raising=False)
+    monkeypatch.setattr(joins, "PRODUCT_OF_ONE", 10, raising=False)
+    a = spark.range(40).select(F.when(F.col("id") < 30, 1).when(F.col("id") < 38, 2).alias("t"), (F.col("id") % 5).alias("v"), F.col("id").alias("l"))
+    b = spark.range(30).select(F.when(F.col("id") < 20, 1).otherwise(3).alias("t"), (F.col("id") % 3).alias("v"))
+    out = joins.suffixed_join(a, b, ["t"])
+    assert out.columns == ["t", "v_x", "l", "v_y"]
+    got = out.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.t, r.v_x, r.l, r.v_y) for r in got) == sorted((1, x % 5, x, y % 3) for x in range(30) for y in range(20))
+    assert len({r.task for r in got}) > 2  # one key's rows are not in one task
