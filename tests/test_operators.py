@@ -358,3 +358,29 @@ def test_time_join_deals_out_a_hot_key(spark, monkeypatch):
     got = out.withColumn("task", F.spark_partition_id()).collect()
     assert sorted((r.t, r.v_x, r.l, r.v_y) for r in got) == sorted((1, x % 5, x, y % 3) for x in range(30) for y in range(20))
     assert len({r.task for r in got}) > 2  # one key's rows are not in one task
+
+
+def test_nearest_in_tiles():
+    """Far from the origin, with equal rows and few rows: the same as all distances at once, in memory of tiles."""
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    x = np.repeat(r.standard_normal((700, 8)) + 1e5, 3, 0)
+    keys, q, k = r.permutation(len(x)), x[::7] + 0.0, 10
+    d, n = np.full((len(q), k), np.nan), np.full((len(q), k), np.iinfo(np.int64).max)
+    for i in range(0, len(x), 500):
+        ml._merge(d, n, q, keys[i : i + 500], x[i : i + 500])
+    for j, one in enumerate(q):
+        far = np.sqrt(((x - one) ** 2).sum(1))
+        order = np.lexsort((keys, far))[:k]
+        assert (n[j] == keys[order]).all() and (d[j] == far[order]).all()
+    few, nf = np.full((2, k), np.nan), np.full((2, k), np.iinfo(np.int64).max)
+    ml._merge(few, nf, q[:2], keys[:3], np.array([x[0], x[3], x[0] * np.nan]))
+    assert np.isfinite(few).sum() == 4 and (nf < np.iinfo(np.int64).max).sum() == 6
+    many, dm, nm = np.tile(q, (14, 1))[:4096], np.full((4096, k), np.nan), np.full((4096, k), np.iinfo(np.int64).max)
+    tracemalloc.start()
+    ml._merge(dm, nm, many, keys[:1024], x[:1024])
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
