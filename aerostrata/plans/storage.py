@@ -325,8 +325,9 @@ def late_means(spark, d):
     """Hourly counts of a stream under a watermark that no reading is later than."""
     source, out, mark = scratch(spark), scratch(spark), scratch(spark)
     e = read(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), S.zip5(F.col("user_id")).alias("zip"), "value")
-    e.coalesce(1).write.parquet(source)
-    stream = ingest.files(spark, source, "event_id bigint, ts timestamp, zip string, value double")
+    # files that as many tasks can read; one batch takes them all, so none is late
+    e.write.option("maxRecordsPerFile", 1 << 20).parquet(source)
+    stream = ingest.files(spark, source, "event_id bigint, ts timestamp, zip string, value double", per_trigger=(1 << 31) - 1)
     means = ingest.late_hourly_means(stream, "ts", "value", "zip", "5 days").select("zip", F.col("window.start").alias("hour"), F.col("n"))
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")

@@ -384,3 +384,18 @@ def test_nearest_in_tiles():
     ml._merge(dm, nm, many, keys[:1024], x[:1024])
     assert tracemalloc.get_traced_memory()[1] < 20e6
     tracemalloc.stop()
+
+
+def test_late_means_reads_many_files_in_one_batch(spark, tmp_path):
+    from aerostrata.plans import QUERIES, storage
+
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    e.repartition(4, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    made, real = [], storage.scratch
+    storage.scratch = lambda s: made.append(real(s)) or made[-1]
+    try:
+        out = QUERIES["late_means"](spark, str(tmp_path))
+    finally:
+        storage.scratch = real
+    assert sorted(out.agg(F.sum("n")).first()) == [e.count()]
+    assert len(spark.read.parquet(made[0]).inputFiles()) == 4
